@@ -26,17 +26,21 @@ def fold_events(events: DataFrame) -> DataFrame:
     """Event log -> load state, one row per version of a period.
 
     A restart clears completion and error but keeps the current flag, the row
-    count and the format of the first start; a failure leaves the current flag.
+    count and the format of the first start; a failure leaves the current flag,
+    and only a restart clears its message.
     Current is the version of the period's last completed load.
     """
     started = F.when(F.col("event") == STARTED, F.col("seq"))
     completed = F.when(F.col("event") == COMPLETED, F.col("seq"))
+    failed = F.when(F.col("event") == FAILED, F.col("seq"))
     versions = events.groupBy(*VERSION_KEY).agg(
         F.min_by("data_format_version", started).alias("data_format_version"),
         F.max_by("ts", started).alias("load_timestamp"),
         F.max_by("file_count", started).alias("file_count"),
         F.max_by("row_count", completed).alias("row_count"),
-        F.max_by(F.struct("event", "error_message"), "seq").alias("last"),
+        F.max_by("event", "seq").alias("last_event"),
+        F.max_by("error_message", failed).alias("last_error"),
+        (F.max(failed) > F.coalesce(F.max(started), F.lit(0))).alias("failed_since_start"),
     )
     current = (
         events.where(F.col("event") == COMPLETED)
@@ -44,16 +48,15 @@ def fold_events(events: DataFrame) -> DataFrame:
         .agg(F.max_by("version_id", "seq").alias("version_id"))
         .withColumn("is_current", F.lit(True))
     )
-    failed = F.col("last.event") == FAILED
     return versions.join(current, VERSION_KEY, "left").select(
         *VERSION_KEY,
         "data_format_version",
         F.coalesce("is_current", F.lit(False)).alias("current_version"),
         "load_timestamp",
-        (F.col("last.event") == COMPLETED).alias("load_completed"),
+        (F.col("last_event") == COMPLETED).alias("load_completed"),
         "row_count",
         "file_count",
-        F.when(failed, F.col("last.error_message")).alias("error_message"),
+        F.when(F.col("failed_since_start"), F.col("last_error")).alias("error_message"),
     )
 
 
