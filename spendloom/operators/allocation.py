@@ -141,10 +141,12 @@ def monthly_mart(unified: DataFrame, source_columns: tuple[str, ...] = ()) -> Da
 
 
 def write_mart(mart: DataFrame, path: str) -> None:
-    """Write a mart partitioned by month, each month's rows together but split when large."""
-    mart.repartition("billing_period", "service_name", "account_id").write.partitionBy(
-        "billing_period"
-    ).mode("errorifexists").parquet(path)
+    """Write a mart partitioned by month.
+
+    Range partitions keep a small month in one file and split a large one.
+    """
+    ranged = mart.repartitionByRange("billing_period", "service_name", "account_id")
+    ranged.write.partitionBy("billing_period").mode("errorifexists").parquet(path)
 
 
 def reconciliation(raw: DataFrame, focus: DataFrame, raw_cost: str, focus_cost: str) -> DataFrame:

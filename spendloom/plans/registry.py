@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
+PLANS: dict[str, Query] = {}  # the same, without the last step for comparison
 ORACLE: dict[str, str] = {}
 
 
@@ -43,6 +44,7 @@ def query(name: str, sql: str | None = None):
         if name in QUERIES:
             raise ValueError(f"query {name} is registered twice")
         QUERIES[name] = run
+        PLANS[name] = build
         if sql is not None:
             ORACLE[name] = sql
         return build

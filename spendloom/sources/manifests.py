@@ -60,14 +60,16 @@ def select_manifests(
     """Objects ``(key, content)`` -> the export's manifests in range, by period."""
     pattern = manifest_key_pattern(prefix, export_name, cur_version)
     period = period_of_key(F.col("key"), pattern, cur_version)
+    matches = F.col("key").rlike(pattern)
     return (
-        objects.where(F.col("key").rlike(pattern))
+        objects.where(matches)
         .select(
             F.lit(bucket).alias("bucket"),
             "key",
             period.alias("billing_period"),
             F.lit(cur_version).alias("version"),
-            "content",
+            # Filters may be reordered: other objects' content must never reach the parser.
+            F.when(matches, F.col("content")).alias("content"),
         )
         .where(in_period_range(F.col("billing_period"), start, end))
         .orderBy("billing_period")

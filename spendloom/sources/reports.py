@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import csv
 from collections.abc import Callable, Iterable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
@@ -97,20 +98,23 @@ def _distinct(df: DataFrame) -> DataFrame:
 
 
 # ---- scans ---------------------------------------------------------------------
-def _csv_reader(spark: SparkSession, multi_line: bool):
-    return (
-        spark.read.option("header", "true")
-        .option("quote", '"')
-        .option("escape", '"')
-        .option("multiLine", str(multi_line).lower())
-    )
+def _unique(names: Iterable[str]) -> tuple[str, ...]:
+    """Number the repeats of a column name, whatever their case."""
+    seen: dict[str, int] = {}
+    out = []
+    for name in names:
+        repeat = seen.get(name.lower(), 0)
+        seen[name.lower()] = repeat + 1
+        out.append(f"{name}_{repeat}" if repeat else name)
+    return tuple(out)
 
 
 def csv_headers(spark: SparkSession, paths: list[str]) -> dict[str, tuple[str, ...]]:
-    """Column names of each CSV file, read from its first line only."""
+    """Column names of each CSV file, of which only the first line is read."""
 
     def header(path: str) -> tuple[str, ...]:
-        return tuple(_csv_reader(spark, False).csv(path).columns)
+        first = spark.read.text(path).first()
+        return tuple(next(csv.reader([first[0].lstrip("\ufeff")]))) if first else ()
 
     with ThreadPoolExecutor(_HEADER_READERS) as pool:
         return dict(zip(paths, pool.map(header, paths)))
@@ -125,10 +129,15 @@ def scan_csv(
     line breaks are kept; give ``multi_line=False`` to split large plain files
     that are known to have none.
     """
-    schema = T.StructType([T.StructField(name, T.StringType()) for name in header])
+    names = _unique(header)
+    schema = T.StructType([T.StructField(name, T.StringType()) for name in names])
     return (
-        _csv_reader(spark, multi_line)
-        .option("enforceSchema", "false")
+        spark.read.option("header", "true")
+        .option("quote", '"')
+        .option("escape", '"')
+        .option("multiLine", str(multi_line).lower())
+        # Repeated names are numbered here, so those headers cannot be checked again.
+        .option("enforceSchema", str(names != header).lower())
         .option("mode", "FAILFAST")
         .schema(schema)
         .csv(paths)
@@ -187,12 +196,13 @@ def scan_reports(
     CSV columns go by position, so files are scanned per distinct header.
     """
     files = list(files)
-    csv = [path for path, kind in files if kind == "csv"]
+    texts = [path for path, kind in files if kind == "csv"]
     parquet = [path for path, kind in files if kind == "parquet"]
     scans = []
     by_header: dict[tuple[str, ...], list[str]] = {}
-    for path, header in csv_headers(spark, csv).items():
+    for path, header in csv_headers(spark, texts).items():
         by_header.setdefault(header, []).append(path)
+    by_header.pop((), None)  # files without even a header
     for header, paths in by_header.items():
         scans.append(scan_csv(spark, paths, header, multi_line))
     if parquet:

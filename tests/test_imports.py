@@ -72,6 +72,15 @@ def test_quotes_line_breaks_and_unreadable_values(feed):
     assert kept == [{"line_item_unblended_cost": "oops"}]
 
 
+def test_repeated_column_names_and_empty_files(feed):
+    put(f"{feed.folder}/s3", "bkt", "a.csv", "lineItem/UnblendedCost,product/region,product/Region\n1,x,y\n")
+    put(f"{feed.folder}/s3", "bkt", "b.csv", "")
+    feed.manifest("2024-01", "v1", ["a.csv", "b.csv"])
+    assert feed.run() == {"2024-01": 1}
+    row = feed.lake.unified_view().first()
+    assert (row["product_region"], row["product_region_1"]) == ("x", "y")
+
+
 def test_ragged_rows_fail(feed):
     put(f"{feed.folder}/s3", "bkt", "bad.csv", csv_text([BASE]) + "only,three,fields\n")
     feed.manifest("2024-01", "v1", ["bad.csv"])
