@@ -25,36 +25,46 @@ def _running_count(counts: DataFrame, key: str) -> DataFrame:
     )
 
 
-def _find_rank(counts: DataFrame, key: str, rank: int):
-    return _running_count(counts, key).where(F.col("upto") >= rank).orderBy(key).first()
+def _from_rank(counts: DataFrame, key: str, rank: int) -> list:
+    """The row that holds the rank and the one after it."""
+    return _running_count(counts, key).where(F.col("upto") >= rank).orderBy(key).take(2)
 
 
 def _number(value: int, like: T.DataType) -> Column:
     return F.lit(Decimal(value)).cast(like)
 
 
-def _value_at(values: DataFrame, rank: int, low: int, high: int, rows: int, bins: int, small: int):
-    """(tick at 1-based ``rank``, number of rows at or below it)."""
+def _values_at(
+    values: DataFrame, rank: int, low: int, high: int, rows: int, bins: int, small: int
+) -> tuple[int, int]:
+    """Ticks at the 1-based ranks ``rank`` and ``rank + 1``."""
     kind = values.schema["tick"].dataType
     below = 0
 
-    def inside() -> DataFrame:
-        return values.where(F.col("tick").between(_number(low, kind), _number(high, kind)))
+    def between(first: int, last: int) -> DataFrame:
+        return values.where(F.col("tick").between(_number(first, kind), _number(last, kind)))
 
+    top = high
     while rows > small and low < high:
         width = -(-(high - low + 1) // bins)
         bin_of = F.call_function("div", F.col("tick") - _number(low, kind), _number(width, kind))
-        counts = inside().groupBy(bin_of.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
-        hit = _find_rank(counts, "bin", rank - below)
+        counts = between(low, high).groupBy(bin_of.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
+        hit = _from_rank(counts, "bin", rank - below)[0]
         below += hit["upto"] - hit["n"]
         rows = hit["n"]
         low += hit["bin"] * width
         high = min(high, low + width - 1)
     if low == high:
-        return low, below + rows
-    counts = inside().groupBy("tick").agg(F.count(F.lit(1)).alias("n"))
-    hit = _find_rank(counts, "tick", rank - below)
-    return int(hit["tick"]), below + hit["upto"]
+        tick, upto, following = low, below + rows, []
+    else:
+        counts = between(low, high).groupBy("tick").agg(F.count(F.lit(1)).alias("n"))
+        hit, *following = _from_rank(counts, "tick", rank - below)
+        tick, upto = int(hit["tick"]), below + hit["upto"]
+    if upto > rank or tick == top:
+        return tick, tick
+    if following:
+        return tick, int(following[0]["tick"])
+    return tick, int(between(tick + 1, top).agg(F.min("tick")).first()[0])
 
 
 def exact_median(df: DataFrame, column: str, bins: int = BINS, small: int = SMALL):
@@ -77,9 +87,7 @@ def exact_median(df: DataFrame, column: str, bins: int = BINS, small: int = SMAL
     if not total:
         return None
     low, high = int(bounds["low"]), int(bounds["high"])
-    lower, covered = _value_at(values, (total + 1) // 2, low, high, total, bins, small)
-    upper = lower
-    if total % 2 == 0 and covered < total // 2 + 1:
-        above = values.where(F.col("tick") > _number(lower, values.schema["tick"].dataType))
-        upper = int(above.agg(F.min("tick")).first()[0])
+    lower, upper = _values_at(values, (total + 1) // 2, low, high, total, bins, small)
+    if total % 2:
+        upper = lower
     return Decimal(lower + upper).scaleb(-kind.scale) / 2

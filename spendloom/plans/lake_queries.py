@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from spendloom.functions import scalars as S
+from spendloom.functions.names import clean_columns
 from spendloom.operators import quality, state
 from spendloom.operators.lake import BillingLake
 from spendloom.plans.imports import import_export
@@ -16,7 +17,7 @@ from spendloom.plans.registry import query
 from spendloom.plans.star_billing import table
 from spendloom.session import scratch_folder
 from spendloom.sources import manifests as M
-from spendloom.sources.reports import typed_columns
+from spendloom.sources.reports import report_union, typed_columns
 
 # ---- load state --------------------------------------------------------------------
 # Every order starts a load; a finished or partial one also completes or fails it.
@@ -495,3 +496,53 @@ def unreadable_values(spark, folder):
         F.count(kept).alias("kept"),
         F.min(kept).alias("least_kept"),
     )
+
+
+@query(
+    "report_union",
+    """SELECT 'lineItem_UnblendedCost,product_name,resourceTags_user:Owner' AS header, n, with_owner, with_name
+FROM (SELECT (SELECT COUNT(*) FROM orders) + (SELECT COUNT(*) FROM part) AS n,
+       (SELECT COUNT(*) FROM orders) AS with_owner, (SELECT COUNT(*) FROM part) AS with_name)""",
+)
+def report_union_query(spark, folder):
+    orders = table(spark, folder, "orders").select(
+        F.col("o_orderpriority").alias("resourceTags/user:Owner"),
+        F.col("o_totalprice").alias("lineItem/UnblendedCost"),
+    )
+    part = table(spark, folder, "part").select(
+        F.col("p_name").alias("product/name"), F.col("p_retailprice").alias("lineItem/UnblendedCost")
+    )
+    whole = clean_columns(report_union([orders, part]))
+    return whole.agg(
+        F.lit(",".join(whole.columns)).alias("header"),
+        F.count(F.lit(1)).alias("n"),
+        F.count_if(F.col("`resourceTags_user:Owner`") != "").alias("with_owner"),
+        F.count_if(F.col("product_name") != "").alias("with_name"),
+    )
+
+
+@query(
+    "canonical_columns",
+    """SELECT CAST(SUM(CAST(l_extendedprice AS DECIMAL(12,2))) AS DOUBLE) AS line_item_unblended_cost,
+       CAST(SUM(CAST(l_quantity AS DECIMAL(12,2))) AS DOUBLE) AS line_item_usage_amount,
+       MAX(l_returnflag) AS line_item_line_item_type, MIN(strftime(l_shipdate, '%Y-%m-%d %H:%M:%S'))
+         AS line_item_usage_start_date, COUNT(DISTINCT l_partkey) AS line_item_resource_id
+FROM lineitem""",
+)
+def canonical_columns_query(spark, folder):
+    """Raw, cleaned, squashed, snake and prefix-less names all end in the canonical one."""
+    item = table(spark, folder, "lineitem").select(
+        F.col("l_extendedprice").cast("decimal(12,2)").alias("lineItem/UnblendedCost"),
+        F.col("l_quantity").cast("string").alias("lineItem_UsageAmount"),
+        F.col("l_returnflag").alias("lineitem_lineitemtype"),
+        F.col("l_shipdate").cast("string").alias("usage_start_date"),
+        F.col("l_partkey").alias("line_item_resource_id"),
+    )
+    lines = typed_columns(item)
+    return lines.agg(
+        F.sum("line_item_unblended_cost").alias("line_item_unblended_cost"),
+        F.sum("line_item_usage_amount").alias("line_item_usage_amount"),
+        F.max("line_item_line_item_type").alias("line_item_line_item_type"),
+        F.min("line_item_usage_start_date").alias("line_item_usage_start_date"),
+        F.count_distinct("line_item_resource_id").alias("line_item_resource_id"),
+    )

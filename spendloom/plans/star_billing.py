@@ -31,8 +31,8 @@ def _line_type():
 
 
 def _unblended():
-    price = F.col("l_extendedprice").cast("decimal(12,2)")
-    return F.when(F.col("l_returnflag") == "R", -price).otherwise(price)
+    price = F.col("l_extendedprice")
+    return F.when(F.col("l_returnflag") == "R", -price).otherwise(price).cast("decimal(12,2)")
 
 
 def _scaled(column: str, sign: int):

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from spendloom.functions.fixed_values import AMOUNT_COLUMNS, TIMESTAMP_COLUMNS
-from spendloom.functions.names import canonical_columns, canonical_name
+from spendloom.functions.names import canonical_columns, canonical_name, report_column_order
 from spendloom.functions.scalars import AMOUNT, TAGS
 
 UNREADABLE = "unreadable_values"
@@ -89,6 +89,13 @@ def union_by_name(frames: Iterable[DataFrame], distinct: bool = False) -> DataFr
     return _distinct(whole) if distinct else whole
 
 
+def report_union(frames: Iterable[DataFrame]) -> DataFrame:
+    """All raw report rows with all columns in report order; missing values are empty text."""
+    whole = union_by_name(frames)
+    ordered = [F.col(f"`{name}`").cast("string").alias(name) for name in report_column_order(whole.columns)]
+    return whole.select(*ordered).fillna("")
+
+
 def _distinct(df: DataFrame) -> DataFrame:
     """``distinct`` that also takes map columns, compared as sorted entries."""
     maps = [f.name for f in df.schema if isinstance(f.dataType, T.MapType)]
