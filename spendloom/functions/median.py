@@ -8,7 +8,7 @@ rank, until what is left is checked to be small.
 
 from __future__ import annotations
 
-from decimal import Decimal
+from decimal import Decimal, localcontext
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -73,13 +73,12 @@ def exact_median(df: DataFrame, column: str, bins: int = BINS, small: int = SMAL
     if not isinstance(kind, T.DecimalType):
         raise TypeError(f"{column} must be a decimal column, not {kind.simpleString()}")
     # Whole ticks of the column's own scale; in a long whenever they must fit.
-    whole = T.DecimalType(38, 0)
-    ticks = F.col(column).cast(T.DecimalType(38, kind.scale)) * F.lit(10**kind.scale).cast(whole)
-    if kind.precision <= 18:
-        ticks = (F.col(column) * F.lit(10**kind.scale).cast(T.DecimalType(19, 0))).cast("long")
-    values = df.select(ticks.cast("long" if kind.precision <= 18 else whole).alias("tick")).where(
-        F.col("tick").isNotNull()
-    )
+    fits = kind.precision <= 18
+    whole = T.LongType() if fits else T.DecimalType(38, 0)
+    power = F.lit(10**kind.scale).cast(T.DecimalType(kind.scale + 1, 0))
+    exact = F.col(column) if fits else F.col(column).cast(T.DecimalType(38, kind.scale))
+    ticks = (exact * power).cast(whole)
+    values = df.select(ticks.alias("tick")).where(F.col("tick").isNotNull())
     bounds = values.agg(
         F.min("tick").alias("low"), F.max("tick").alias("high"), F.count(F.lit(1)).alias("n")
     ).first()
@@ -90,4 +89,5 @@ def exact_median(df: DataFrame, column: str, bins: int = BINS, small: int = SMAL
     lower, upper = _values_at(values, (total + 1) // 2, low, high, total, bins, small)
     if total % 2:
         upper = lower
-    return Decimal(lower + upper).scaleb(-kind.scale) / 2
+    with localcontext(prec=60):
+        return Decimal(lower + upper).scaleb(-kind.scale) / 2
