@@ -73,9 +73,10 @@ def focus_extended(spark, folder):
        CASE WHEN service_name IN ('EC2', 'Lambda') THEN 'Compute' ELSE 'Storage' END AS ServiceCategory,
        CASE WHEN service_name IN ('EC2', 'RDS') THEN 'Hours' ELSE 'GB' END AS UsageUnit,
        service_name AS ServiceName, COUNT(*) AS n, CAST(SUM(billed_cost) AS DOUBLE) AS BilledCost,
-       ROUND(CAST(SUM(CAST(ROUND(effective_cost / usage_quantity, 6) AS DECIMAL(18,6))) AS DOUBLE), 4)
-         AS EffectiveUnitPrices
-FROM (SELECT billing_period, billed_cost, effective_cost, usage_quantity,
+       ROUND(CAST(SUM(sign(ticks) * ((abs(ticks) * 2000000 + quantity) // (2 * quantity))) AS DOUBLE)
+             / 10000000000, 4) AS EffectiveUnitPrices
+FROM (SELECT billing_period, billed_cost, CAST(effective_cost * 10000 AS HUGEINT) AS ticks,
+             CAST(usage_quantity AS HUGEINT) AS quantity,
              CASE service_name WHEN 'SMALL' THEN 'EC2' WHEN 'LARGE' THEN 'RDS'
                   WHEN 'PROMO' THEN 'Lambda' ELSE 'S3' END AS service_name FROM focus)
 GROUP BY 1, 2, 3, 4, 5""",
@@ -93,7 +94,7 @@ def focus_records(spark, folder):
         .agg(
             F.count(F.lit(1)).alias("n"),
             F.sum("BilledCost").alias("BilledCost"),
-            F.round(F.sum(F.round("EffectiveUnitPrice", 6)), 4).alias("EffectiveUnitPrices"),
+            F.round(F.sum("EffectiveUnitPrice"), 4).alias("EffectiveUnitPrices"),
         )
     )
 
