@@ -20,6 +20,8 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from spendloom.functions.fixed_values import UNIFIED_SUFFIX
+from spendloom.functions.names import table_name
 from spendloom.operators.state import (
     COMPLETED,
     EVENT_FIELDS,
@@ -192,20 +194,19 @@ class BillingLake:
     def current_loads(self) -> DataFrame:
         return current_loads(self.events())
 
-    def unified_view(
-        self, start: str | None = None, end: str | None = None, distinct: bool = False
-    ) -> DataFrame:
-        """Rows of all current loads, or those of a period range.
-
-        Loads are few and resolved first; those with one schema share one scan.
-        """
+    def _served_loads(self, start: str | None = None, end: str | None = None) -> list:
+        """The current loads that have rows, one driver row per period."""
         loads = self.current_loads().where(F.col("row_count") > 0)
         if start is not None:
             loads = loads.where(F.col("billing_period") >= start)
         if end is not None:
             loads = loads.where(F.col("billing_period") <= end)
+        return loads.orderBy("billing_period").collect()
+
+    def _read(self, loads: list, distinct: bool = False) -> DataFrame:
+        """Rows of the given loads; those with one schema share one scan."""
         by_schema: dict[str, list[str]] = {}
-        for load in loads.orderBy("billing_period").collect():
+        for load in loads:
             path = self.load_path(load["billing_period"], load["version_id"], load["load_id"])
             by_schema.setdefault(load["load_schema"], []).append(path)
         places = T.StructType([T.StructField(name, T.StringType()) for name in _LOAD_COLUMNS])
@@ -218,9 +219,26 @@ class BillingLake:
             scans.append(reader.parquet(*paths))
         return union_by_name(scans, distinct)
 
+    def unified_view(
+        self, start: str | None = None, end: str | None = None, distinct: bool = False
+    ) -> DataFrame:
+        """Rows of all current loads, or those of a period range."""
+        return self._read(self._served_loads(start, end), distinct)
+
     def period_view(self, period: str) -> DataFrame:
+        """One period's rows, with that period's columns only."""
         return self.unified_view(period, period)
 
+    def register_views(self) -> list[str]:
+        """Temp views for SQL users: one per period and the unified one; their names."""
+        loads = self._served_loads()
+        export = self.spark.range(1).select(table_name(F.lit(self.export_name))).first()[0]
+        views = {f"{export}_{load['billing_period'].replace('-', '_')}": [load] for load in loads}
+        views[f"{export}{UNIFIED_SUFFIX}"] = loads
+        for name, served in views.items():
+            self._read(served).createOrReplaceTempView(name)
+        return list(views)
+
     def superseded_loads(self) -> DataFrame:
         """Completed loads no period is served from any more; their folders may go."""
         return (

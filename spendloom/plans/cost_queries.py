@@ -232,8 +232,8 @@ def unified_view_since(spark, folder):
 @query(
     "unified_view_drift",
     """SELECT strftime(l_shipdate, '%Y') AS year, COUNT(*) AS n,
-       SUM(CASE WHEN l_shipdate >= TIMESTAMP '1999-01-01' THEN 1 ELSE 0 END) AS with_late_column,
-       SUM(CASE WHEN l_shipdate < TIMESTAMP '1997-01-01' THEN 1 ELSE 0 END) AS with_early_column,
+       COUNT(CASE WHEN l_shipdate >= TIMESTAMP '1999-01-01' THEN 1 END) AS with_late_column,
+       COUNT(CASE WHEN l_shipdate < TIMESTAMP '1997-01-01' THEN 1 END) AS with_early_column,
        CAST(SUM(CAST(l_quantity AS DECIMAL(12,2))) AS DOUBLE) AS quantity,
        MIN(CASE WHEN l_shipdate >= TIMESTAMP '1999-01-01' THEN l_returnflag
                 ELSE CAST(l_linenumber AS VARCHAR) END) AS least_mixed
@@ -343,7 +343,7 @@ def period_bounds(spark, folder):
 @query(
     "unit_rate",
     """SELECT l_returnflag, CAST(SUM(rate) AS DOUBLE) AS rates, COUNT(*) AS n,
-       SUM(CASE WHEN rate = 0 THEN 1 ELSE 0 END) AS without_usage
+       COUNT(CASE WHEN rate = 0 THEN 1 END) AS without_usage
 FROM (SELECT l_returnflag, CASE WHEN l_returnflag <> 'R' AND l_quantity > 0
         THEN CAST(ROUND(l_extendedprice / l_quantity, 6) AS DECIMAL(18,6)) ELSE 0 END AS rate
       FROM lineitem) GROUP BY l_returnflag""",
@@ -468,12 +468,14 @@ def daily_event_cost(spark, folder):
 p AS (SELECT url, CASE WHEN regexp_matches(plain, '^[a-z]') THEN plain
         ELSE 'export_' || plain END AS lettered FROM s),
 n AS (SELECT url, substring(trim(regexp_replace(lettered, '_+', '_', 'g'), '_'), 1, 50) AS name FROM p)
-SELECT url, name AS table_name, name || '_2024_01' AS period_table FROM n""",
+SELECT url, name AS table_name, name || '_2024_01' AS period_table, '2024-01' AS billing_period FROM n""",
 )
 def table_names(spark, folder):
     pages = table(spark, folder, "pages")
+    named = names.period_table_name(F.col("url"), F.lit("2024-01"))
     return pages.select(
         "url",
         names.table_name(F.col("url")).alias("table_name"),
-        names.period_table_name(F.col("url"), F.lit("2024-01")).alias("period_table"),
+        named.alias("period_table"),
+        names.period_of_table(named).alias("billing_period"),
     )

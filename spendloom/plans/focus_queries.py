@@ -293,8 +293,8 @@ def focus_quality(spark, folder):
     "dataset_comparison",
     """WITH b AS (SELECT COUNT(*) AS records, COUNT(DISTINCT event_type) AS services FROM events),
 c AS (SELECT COUNT(*) AS records, COUNT(DISTINCT o_orderpriority) AS services FROM orders)
-SELECT 6 AS baseline_columns, b.records AS baseline_records, b.services AS baseline_services,
-       5 AS candidate_columns, c.records AS candidate_records, c.services AS candidate_services,
+SELECT CAST(6 AS BIGINT) AS baseline_columns, b.records AS baseline_records, b.services AS baseline_services,
+       CAST(5 AS BIGINT) AS candidate_columns, c.records AS candidate_records, c.services AS candidate_services,
        5 / 6 AS columns_ratio, c.records / b.records AS records_ratio,
        c.services / b.services AS services_ratio, TRUE AS columns_ok, c.services >= 5 AS services_ok
 FROM b, c""",

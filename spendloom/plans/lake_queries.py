@@ -276,7 +276,7 @@ def _manifests(spark, folder, version, start=None, end=None):
 @query(
     "manifest_version_ids",
     MANIFESTS
-    + """SELECT billing_period, 'v1' AS version, 'asm-' || CAST(top AS VARCHAR) AS version_id, 2 AS file_count,
+    + """SELECT billing_period, 'v1' AS version, 'asm-' || CAST(top AS VARCHAR) AS version_id, CAST(2 AS BIGINT) AS file_count,
        'cur/feed/' || strftime(first_day, '%Y%m%d') || '-' || strftime(first_day + INTERVAL 1 MONTH, '%Y%m%d')
          || '/feed-Manifest.json' AS key FROM m
 UNION ALL SELECT billing_period, 'v2', CASE WHEN n % 2 = 0 THEN 'exec-' || CAST(top AS VARCHAR)

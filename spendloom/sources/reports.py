@@ -197,6 +197,7 @@ def scan_reports(
     files: Iterable[tuple[str, str]],
     overrides: Mapping[str, str] | None = None,
     multi_line: bool = True,
+    spread_over: int | None = None,
 ) -> DataFrame | None:
     """All report files ``(path, format)`` of one period as typed line items.
 
@@ -216,6 +217,8 @@ def scan_reports(
         scans.append(scan_parquet(spark, parquet))
     if not scans:
         return None
+    if spread_over:
+        scans = [scan.repartition(spread_over) for scan in scans]
     return union_by_name(typed_columns(scan, overrides) for scan in scans)
 
 

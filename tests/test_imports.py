@@ -19,6 +19,7 @@ class Feed:
         self.locate = R.path_template(f"file://{folder}/s3/{{bucket}}/{{key}}")
 
     def csv(self, key, records, columns=None):
+        columns = columns or list(dict.fromkeys(c for r in records for c in r)) or None
         put(f"{self.folder}/s3", "bkt", key, csv_text(records, columns) if records else csv_text([BASE]).split("\n")[0] + "\n")
         return key
 
@@ -104,6 +105,27 @@ def test_loaded_versions_are_skipped_and_newer_ones_replace(feed):
     assert feed.costs() == {"2024-01": [D(3)], "2024-02": [D(5)]}
 
 
+def test_views_for_sql_users(feed, spark):
+    feed.manifest("2024-01", "v1", [feed.csv("a.csv", [line(lineItem__UnblendedCost="1.5")])])
+    feed.manifest("2024-02", "v1", [feed.csv("b.csv.gz", [line(lineItem__UnblendedCost="2"), line(product__sku="x")])])
+    feed.run(spread_over=3)
+    assert feed.lake.register_views() == ["prod_2024_01", "prod_2024_02", "prod_unified"]
+    assert spark.sql("SELECT sum(line_item_unblended_cost) FROM prod_2024_01").first()[0] == D("1.5")
+    assert "product_sku" not in spark.table("prod_2024_01").columns
+    assert spark.sql("SELECT count(*) FROM prod_unified WHERE billing_period = '2024-02'").first()[0] == 2
+
+
+def test_a_period_filter_prunes_and_counts_need_no_columns(feed):
+    feed.manifest("2024-01", "v1", [feed.csv("a.csv", [BASE])])
+    feed.manifest("2024-02", "v1", [feed.csv("b.csv", [BASE])])
+    feed.run()
+    chosen = feed.lake.unified_view().where("billing_period = '2024-02'").select("line_item_unblended_cost")
+    plan = chosen._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(billing_period" in plan and plan.count("FileScan") == 1
+    assert "ReadSchema: struct<line_item_unblended_cost:decimal(28,10)>" in plan
+    assert chosen.count() == 1
+
+
 def test_identical_lines_are_kept(feed):
     feed.manifest("2024-01", "v1", [feed.csv("a.csv", [BASE, BASE])])
     feed.run()
