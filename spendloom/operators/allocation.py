@@ -170,13 +170,20 @@ def reconciliation(raw: DataFrame, focus: DataFrame, raw_cost: str, focus_cost:
     return joined.select("*", difference, agrees.alias("reconciled"))
 
 
+def _share(cost: Column, total: Column) -> Column:
+    return cost.cast("double") / F.nullif(total, F.lit(0)).cast("double")
+
+
 def chargeback(lines: DataFrame, cost_centre: Column, cost: str) -> DataFrame:
     """Cost per cost centre and period with its share of the period (showback)."""
     centre = F.when(cost_centre != "", cost_centre)
     costs = lines.groupBy(
         "billing_period", F.coalesce(centre, F.lit(UNALLOCATED)).alias("cost_centre")
     ).agg(F.sum(amount_of(lines, cost)).cast(AMOUNT).alias("cost"))
-    return _with_share(costs)
+    # Summed again from the same exchange; a period may have any number of centres.
+    totals = costs.groupBy("billing_period").agg(F.sum("cost").cast(AMOUNT).alias("_total"))
+    share = _share(F.col("cost"), F.col("_total"))
+    return costs.join(totals, "billing_period").withColumn("share", share).drop("_total")
 
 
 def commitment_share(lines: DataFrame, commitment: Column, cost: str) -> DataFrame:
@@ -184,13 +191,9 @@ def commitment_share(lines: DataFrame, commitment: Column, cost: str) -> DataFra
     costs = lines.groupBy("billing_period", commitment.alias("commitment")).agg(
         F.count(F.lit(1)).alias("line_items"), F.sum(amount_of(lines, cost)).cast(AMOUNT).alias("cost")
     )
-    return _with_share(costs)
-
-
-def _with_share(costs: DataFrame) -> DataFrame:
-    totals = costs.groupBy("billing_period").agg(F.sum("cost").cast(AMOUNT).alias("_total"))
-    share = F.col("cost").cast("double") / F.nullif(F.col("_total"), F.lit(0)).cast("double")
-    return costs.join(totals, "billing_period").withColumn("share", share).drop("_total")
+    # A window over a handful of categories per period.
+    total = F.sum("cost").over(Window.partitionBy("billing_period"))
+    return costs.withColumn("share", _share(F.col("cost"), total))
 
 
 # ---- budgets, anomalies, forecasts -------------------------------------------------

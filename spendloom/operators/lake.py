@@ -161,8 +161,12 @@ class BillingLake:
         """Write one load; (rows, schema), the rows counted while they are written."""
         if lines is None:
             return 0, None
+        # The period comes from the folder; other report columns keep their values.
+        kept = lines.drop("billing_period").withColumnsRenamed(
+            {"version_id": "report_version_id", "load_id": "report_load_id"}
+        )
         rows = Observation()
-        counted = lines.drop(*_LOAD_COLUMNS).observe(rows, F.count(F.lit(1)).alias("n"))
+        counted = kept.observe(rows, F.count(F.lit(1)).alias("n"))
         (
             counted.write.mode("errorifexists")
             .option("maxRecordsPerFile", ROWS_PER_FILE)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -80,12 +81,17 @@ def manifest_objects(spark: SparkSession, bucket_root: str, prefix: str, export_
     """The manifest files below an export's folder: ``key`` (relative to the bucket) and text."""
     root = bucket_root.rstrip("/")
     tail = re.sub(r"^[a-z0-9]+:/*", "/", root)
-    files = (
+    reader = (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", "true")
         .option("pathGlobFilter", "*-Manifest.json")
-        .load(f"{root}/{prefix}/{export_name}")
     )
+    try:
+        files = reader.load(f"{root}/{prefix}/{export_name}")
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], "key string, content string")
     inside = F.regexp_extract("path", re.escape(tail) + r"/(.*)$", 1)
     return files.select(inside.alias("key"), F.decode("content", "UTF-8").alias("content"))
 

@@ -82,3 +82,7 @@ def test_manifest_body_survives(spark, tmp_path):
                     billingPeriod={"start": "2024-01-01", "end": "2024-02-01"})
     data = read(spark, tmp_path).first()["data"]
     assert data["billingPeriod"]["start"] == "2024-01-01" and data["columns"][0]["name"] == "identity/X"
+
+
+def test_an_export_without_objects_has_no_manifests(spark, tmp_path):
+    assert read(spark, tmp_path).count() == 0
