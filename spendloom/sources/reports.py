@@ -7,6 +7,8 @@ from collections.abc import Callable, Iterable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -152,7 +154,20 @@ def scan_csv(
 
 
 def scan_parquet(spark: SparkSession, paths: list[str]) -> DataFrame:
-    return spark.read.option("mergeSchema", "true").parquet(*paths)
+    """Parquet files as one frame; where types disagree, files are scanned per schema."""
+    try:
+        return spark.read.option("mergeSchema", "true").parquet(*paths)
+    except (PySparkException, Py4JJavaError) as error:
+        if "CANNOT_MERGE_SCHEMAS" not in str(error):
+            raise
+    with ThreadPoolExecutor(_HEADER_READERS) as pool:
+        schemas = list(pool.map(lambda path: spark.read.parquet(path).schema, paths))
+    by_schema: dict[T.StructType, list[str]] = {}
+    for path, schema in zip(paths, schemas):
+        by_schema.setdefault(schema, []).append(path)
+    return union_by_name(
+        spark.read.schema(schema).parquet(*group) for schema, group in by_schema.items()
+    )
 
 
 def typed_columns(df: DataFrame, overrides: Mapping[str, str] | None = None) -> DataFrame:

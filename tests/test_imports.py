@@ -183,6 +183,15 @@ def test_parquet_v2_with_other_types_and_digit_versions(feed, spark):
     assert got[0]["line_item_unblended_cost"] == D("1.25") and got[1]["line_item_usage_amount"] == D(2)
 
 
+def test_parquet_files_of_one_period_may_disagree_on_types(feed, spark):
+    for name, ddl, row in (("one", "extra int, a string", (7, "p")), ("two", "extra string, b double", ("x", 1.5)), ("six", "extra int, a string", (8, "q"))):
+        spark.createDataFrame([row], ddl).write.parquet(f"file://{feed.folder}/s3/bkt/{name}.parquet")
+    put_manifest_v2(f"{feed.folder}/s3", "2024-01", {"executionId": "e", "dataFiles": [f"s3://bkt/{n}.parquet" for n in ("one", "two", "six")]})
+    assert feed.run("v2") == {"2024-01": 3}
+    got = feed.lake.unified_view().select("extra", "a", "b").collect()
+    assert sorted(map(tuple, got), key=str) == [("7", "p", None), ("8", "q", None), ("x", None, "1.5")]
+
+
 def test_exports_with_like_names_stay_apart(spark, tmp_path):
     one, two = Feed(spark, str(tmp_path), "prod"), Feed(spark, str(tmp_path), "prod_eu")
     one.manifest("2024-01", "v1", [one.csv("a.csv", [BASE])])
