@@ -173,8 +173,8 @@ def scan_parquet(spark: SparkSession, paths: list[str]) -> DataFrame:
 def typed_columns(df: DataFrame, overrides: Mapping[str, str] | None = None) -> DataFrame:
     """Canonical names; known amounts and times typed, other scalar columns as text.
 
-    A text that is not what its column should hold becomes NULL there and is kept
-    in the ``unreadable_values`` map, so no value is lost.
+    A value that is not what its column should hold becomes NULL there and is kept
+    as text in the ``unreadable_values`` map, so none is lost.
     """
     names = canonical_columns(df.columns, overrides)
     columns, bad = [], []
@@ -184,26 +184,21 @@ def typed_columns(df: DataFrame, overrides: Mapping[str, str] | None = None) ->
         if wanted is not None:
             value = raw.try_cast(wanted)
             columns.append(value.alias(name))
+            text = raw.cast("string")
+            lost = raw.isNotNull() & value.isNull()
             if isinstance(field.dataType, T.StringType):
-                bad.append((name, raw, raw.isNotNull() & (raw != "") & value.isNull()))
+                lost = lost & (raw != "")
+            if field.dataType != wanted:
+                bad.append((lost, F.create_map(F.lit(name), text)))
         elif isinstance(field.dataType, (T.StructType, T.ArrayType, T.MapType)):
             columns.append(raw.alias(name))
         else:
             columns.append(raw.cast("string").alias(name))
     if bad:
-        any_bad = reduce(lambda a, b: a | b, [flag for _, _, flag in bad])
-        kept = F.map_from_entries(
-            F.filter(
-                F.array(
-                    *[
-                        F.when(flag, F.struct(F.lit(n).alias("column"), raw.alias("text")))
-                        for n, raw, flag in bad
-                    ]
-                ),
-                lambda entry: entry.isNotNull(),
-            )
-        )
-        columns.append(F.when(any_bad, kept).cast(TAGS).alias(UNREADABLE))
+        none = F.create_map().cast(TAGS)
+        any_lost = reduce(lambda a, b: a | b, [lost for lost, _ in bad])
+        kept = F.map_concat(*[F.when(lost, entry).otherwise(none) for lost, entry in bad])
+        columns.append(F.when(any_lost, kept).alias(UNREADABLE))
     return df.select(*columns)
 
 
@@ -223,8 +218,9 @@ def scan_reports(
     parquet = [path for path, kind in files if kind == "parquet"]
     scans = []
     by_header: dict[tuple[str, ...], list[str]] = {}
-    for path, header in csv_headers(spark, texts).items():
-        by_header.setdefault(header, []).append(path)
+    headers = csv_headers(spark, texts)
+    for path in texts:
+        by_header.setdefault(headers[path], []).append(path)
     by_header.pop((), None)  # files without even a header
     for header, paths in by_header.items():
         scans.append(scan_csv(spark, paths, header, multi_line))

@@ -82,6 +82,20 @@ def test_repeated_column_names_and_empty_files(feed):
     assert (row["product_region"], row["product_region_1"]) == ("x", "y")
 
 
+def test_no_value_is_lost_in_typing(rows):
+    df = rows("`lineItem/UnblendedCost` double, `lineItem/UsageAmount` string, other int", (float("nan"), "1e", 7), (2.5, "3", None))
+    got = R.typed_columns(df).collect()
+    assert got[0][R.UNREADABLE] == {"line_item_unblended_cost": "NaN", "line_item_usage_amount": "1e"}
+    assert (got[1]["line_item_unblended_cost"], got[1]["line_item_usage_amount"], got[1][R.UNREADABLE]) == (D("2.5"), D(3), None)
+    assert got[0]["other"] == "7"
+
+
+def test_a_file_listed_twice_is_read_twice(feed):
+    key = feed.csv("a.csv", [BASE])
+    feed.manifest("2024-01", "v1", [key, key])
+    assert feed.run() == {"2024-01": 2}
+
+
 def test_ragged_rows_fail(feed):
     put(f"{feed.folder}/s3", "bkt", "bad.csv", csv_text([BASE]) + "only,three,fields\n")
     feed.manifest("2024-01", "v1", ["bad.csv"])
