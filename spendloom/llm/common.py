@@ -27,7 +27,7 @@ def written(df: DataFrame) -> DataFrame:
     """The rows, written once to the folder all executors share and read back."""
     spark = df.sparkSession
     path = scratch_folder(spark)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import slack_packing, transducer_bpe
+from . import anchor_pii, quartile_digest, slack_packing, transducer_bpe
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -42,3 +42,29 @@ def op4_minimum_slack_packing(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents", "doc_id", "text")
     pieces = slack_packing.pack(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"))
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+@query
+def op5_quartile_digest(spark: SparkSession, folder: str) -> DataFrame:
+    """Every text's digest, next to that of its edited text and of the next document."""
+    return quartile_digest.edited_fingerprints(table(spark, folder, "documents", "doc_id", "text"))
+
+
+@query
+def op6_anchor_expansion(spark: SparkSession, folder: str) -> DataFrame:
+    """Personal data in every text."""
+    found = anchor_pii.scan(table(spark, folder, "documents", "doc_id", "text"))
+
+    def of(kind: str) -> F.Column:
+        return F.size(F.filter("spans", lambda span: span["kind"] == kind)).cast("bigint").alias(f"n_{kind}")
+
+    def joined(spans: F.Column) -> F.Column:
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+    base = joined(F.filter("spans", lambda span: span["kind"].isin(*anchor_pii.BASE)))
+    return found.select(
+        "doc_id",
+        *[of(kind) for kind in anchor_pii.KINDS],
+        F.sha2(base.cast("binary"), 256).alias("base_sha256"),
+        joined(F.col("spans")).alias("spans"),
+    )
