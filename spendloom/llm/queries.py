@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import anchor_pii, quartile_digest, slack_packing, transducer_bpe
-from .common import table
+from . import anchor_pii, compression_quality, hnsw, quartile_digest, slack_packing, transducer_bpe
+from .common import fold, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -68,3 +68,21 @@ def op6_anchor_expansion(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2(base.cast("binary"), 256).alias("base_sha256"),
         joined(F.col("spans")).alias("spans"),
     )
+
+
+@query
+def op3_compression_quality(spark: SparkSession, folder: str) -> DataFrame:
+    """Every text's quality; four fifths of the ids may be learnt from."""
+    docs = table(spark, folder, "documents", "doc_id", "text")
+    labels = table(spark, folder, "labels", "doc_id", "quality")
+    model = compression_quality.fit(docs, labels.where(fold("doc_id", 5) != 0))
+    held_out = (fold("doc_id", 5) == 0).alias("held_out")
+    predicted = (F.col("score") >= 0.3).cast("int").alias("predicted")
+    return compression_quality.score(docs, model).select("doc_id", held_out, "score", predicted)
+
+
+@query
+def op7_hnsw(spark: SparkSession, folder: str) -> DataFrame:
+    """The five nearest vectors of every fiftieth."""
+    vectors = table(spark, folder, "embeddings", "vec_id", "embedding")
+    return hnsw.nearest(vectors, vectors.where(F.col("vec_id") % 50 == 0), 5)
