@@ -23,11 +23,11 @@ def table(spark: SparkSession, folder: str, name: str, *columns: str) -> DataFra
     return spark.read.parquet(f"{folder}/{name}.parquet").select(*columns)
 
 
-def written(df: DataFrame) -> DataFrame:
+def written(df: DataFrame, *parts: str) -> DataFrame:
     """The rows, written once to the folder all executors share and read back."""
     spark = df.sparkSession
     path = scratch_folder(spark)
-    df.write.option("compression", "zstd").parquet(path)
+    df.write.option("compression", "zstd").partitionBy(*parts).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -35,7 +35,8 @@ def shared_file(spark: SparkSession, content: bytes, name: str) -> str:
     """Hand a small file to every executor; returns the name ``SparkFiles.get`` takes."""
     path = spark._jvm.org.apache.hadoop.fs.Path(f"{scratch_folder(spark)}-{name}")
     out = path.getFileSystem(spark._jsc.hadoopConfiguration()).create(path)
-    out.write(bytearray(content))
+    for start in range(0, len(content), 1 << 20):
+        out.write(bytearray(content[start : start + (1 << 20)]))
     out.close()
     spark.sparkContext.addFile(path.toString())
     return path.getName()

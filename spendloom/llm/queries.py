@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import anchor_pii, compression_quality, hnsw, quartile_digest, slack_packing, transducer_bpe
+from . import anchor_pii, compression_quality, context_mixing, hnsw, quartile_digest, slack_packing, transducer_bpe
 from .common import fold, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -86,3 +86,12 @@ def op7_hnsw(spark: SparkSession, folder: str) -> DataFrame:
     """The five nearest vectors of every fiftieth."""
     vectors = table(spark, folder, "embeddings", "vec_id", "embedding")
     return hnsw.nearest(vectors, vectors.where(F.col("vec_id") % 50 == 0), 5)
+
+
+@query
+def op8_context_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    """Every text's log probability, learnt from nine tenths of the ids."""
+    docs = table(spark, folder, "documents", "doc_id", "text")
+    scored = context_mixing.score(docs, fold("doc_id", 10) != 0)
+    held_out = (fold("doc_id", 10) == 0).alias("held_out")
+    return scored.select("doc_id", held_out, "n_tokens", "n_known", "train_tokens", "base_score", "score")
