@@ -50,7 +50,7 @@ from .common import runs, shared_file, small_batches, written
 BLOCK_BYTES = 8_000_000
 ORDERS = (1, 2, 3, 4, 6)  # and the whole word so far
 CONTEXTS = len(ORDERS) + 1
-TABLE_BITS = (16, 18, 20, 21, 22, 22)  # slots of each predictor's hashed table
+TABLE_BITS = (16, 18, 19, 20, 20, 21)  # slots of each predictor's hashed table
 EDGES = np.concatenate([[0], np.cumsum([2 << bits for bits in TABLE_BITS])])  # zeros and ones of a predictor side by side
 SLICES = 64  # the tables' length is a multiple of this
 WORDS_AT_ONCE = 1024
