@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import anchor_pii, compression_quality, context_mixing, hnsw, quartile_digest, slack_packing, transducer_bpe
+from . import anchor_pii, compression_quality, context_mixing, hnsw, license_scan, quartile_digest, signature_join, slack_packing, transducer_bpe
 from .common import fold, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -95,3 +95,16 @@ def op8_context_mixing(spark: SparkSession, folder: str) -> DataFrame:
     scored = context_mixing.score(docs, fold("doc_id", 10) != 0)
     held_out = (fold("doc_id", 10) == 0).alias("held_out")
     return scored.select("doc_id", held_out, "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
+@query
+def op9_signature_trees(spark: SparkSession, folder: str) -> DataFrame:
+    """Groups of documents whose three-word shingles agree to nine tenths."""
+    return signature_join.groups(table(spark, folder, "documents", "doc_id", "text"), 3, 90)
+
+
+@query
+def op10_license_bands(spark: SparkSession, folder: str) -> DataFrame:
+    """Licence notices in every text."""
+    templates = spark.createDataFrame(list(license_scan.NOTICES.items()), "license string, text string")
+    return license_scan.scan(table(spark, folder, "documents", "doc_id", "text"), templates)
