@@ -283,7 +283,8 @@ def true_links(docs: DataFrame, blocks: DataFrame, words: int, percent: int) ->
     """(one, other): verified links that connect each block's linked documents."""
     sizes = blocks.groupBy("component").agg(F.ceil(F.count("*") / TILE).alias("tiles"))
     placed = blocks.join(sizes, "component").withColumn("tile", F.pmod(F.xxhash64("node"), "tiles"))
-    sent = docs.join(placed, docs["doc_id"] == placed["node"]).select("doc_id", "text", "component", "tile", "tiles")
+    # The same plan at every size: texts are dealt by id, blocks are not broadcast.
+    sent = docs.hint("merge").join(placed, docs["doc_id"] == placed["node"]).select("doc_id", "text", "component", "tile", "tiles")
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
