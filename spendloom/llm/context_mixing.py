@@ -3,7 +3,7 @@
 The model predicts the bits of a token sequence: the bytes of each word, then a separator; a
 separator at the start of a word ends the document, so the probabilities of all sequences add up to
 one at most.  ``CONTEXTS`` bit predictors look up counts of zeros and ones under hashed contexts
-(the last 1, 2, 3, 4 and 6 bytes of the word, and all its bytes so far).  Their stretched
+(the last 2, 3, 4 and 6 bytes of the word, and all its bytes so far).  Their stretched
 probabilities are combined with weights that a gate picks (place in the word, how many contexts are
 known, bit), learnt online, and an adaptive probability map refines the result.
 
@@ -16,7 +16,7 @@ is therefore done once for each distinct word of the corpus:
 3. each task over that table counts its words' bits into hashed tables, which are summed in
    slices; the finished tables have a fixed size and are mapped into memory by the workers;
 4. each task learns mixing weights online over its words, every word seen without one of its own
-   occurrences; the tasks' weights are averaged, then the refining map is counted the same way;
+   occurrences, and counts the refining map; weights are averaged and counts added over tasks;
 5. the word table is scored, joined back to the blocks' lists, and documents are added up.
 
 A text also adapts the model: training documents fall into ``GROUPS`` groups by their most frequent
@@ -41,6 +41,7 @@ from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark import SparkFiles, TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -48,9 +49,9 @@ from pyspark.sql import functions as F
 from .common import runs, shared_file, small_batches, written
 
 BLOCK_BYTES = 8_000_000
-ORDERS = (1, 2, 3, 4, 6)  # and the whole word so far
+ORDERS = (2, 3, 4, 6)  # and the whole word so far
 CONTEXTS = len(ORDERS) + 1
-TABLE_BITS = (16, 18, 19, 20, 20, 21)  # slots of each predictor's hashed table
+TABLE_BITS = (18, 19, 20, 20, 21)  # slots of each predictor's hashed table
 EDGES = np.concatenate([[0], np.cumsum([2 << bits for bits in TABLE_BITS])])  # zeros and ones of a predictor side by side
 SLICES = 64  # the tables' length is a multiple of this
 WORDS_AT_ONCE = 1024
@@ -249,39 +250,32 @@ def tally_bits(portions: Portions) -> np.ndarray | None:
     return tables
 
 
-def learn_weights(portions: Portions, model: Model) -> np.ndarray:
-    """Change a model's weights online; returns how many tokens each gate has seen."""
+def learn_online(portions: Portions, model: Model) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Change a model's weights online; returns the tokens each gate has seen, and (ones, all bits) by place of the map.
+
+    The map is counted on predictions before they are learnt from.
+    """
     squares = np.full((GATES, CONTEXTS + 1), 1e-6)
-    mass = np.zeros(GATES)
+    seen_all, ones, mass = np.zeros(GATES), np.zeros(GATES * MAP_STEPS), np.zeros(GATES * MAP_STEPS)
     for words, counts in portions:
         at = Positions(words)
         weight = counts[at.word].astype(np.float64)
         for index, bit, slots in at.bits():
             x, gate = model.inputs(at, index, bit, slots, True)
-            error = weight * (bit - squash(model.mixed(x, gate)))
+            linear = model.mixed(x, gate)
+            low, upper = model.map_places(gate, linear)
+            for place, share in ((low, weight * (1 - upper)), (low + 1, weight * upper)):
+                mass += np.bincount(place, share, len(mass))
+                ones += np.bincount(place, share * bit, len(mass))
+            error = weight * (bit - squash(linear))
             seen = np.bincount(gate, weight, GATES)
-            mass += seen
+            seen_all += seen
             own = seen > 0
             for k in range(CONTEXTS + 1):
                 step = np.bincount(gate, error * x[:, k], GATES)[own] / seen[own]
                 squares[own, k] += step * step
                 model.weights[own, k] += RATE * step / np.sqrt(squares[own, k])
-    return mass
-
-
-def tally_map(portions: Portions, model: Model) -> tuple[np.ndarray, np.ndarray]:
-    """(ones, all bits) by place of the refining map."""
-    ones, mass = np.zeros(GATES * MAP_STEPS), np.zeros(GATES * MAP_STEPS)
-    for words, counts in portions:
-        at = Positions(words)
-        weight = counts[at.word].astype(np.float64)
-        for index, bit, slots in at.bits():
-            x, gate = model.inputs(at, index, bit, slots, True)
-            low, upper = model.map_places(gate, model.mixed(x, gate))
-            for place, share in ((low, 1 - upper), (low + 1, upper)):
-                mass += np.bincount(place, weight * share, len(mass))
-                ones += np.bincount(place, weight * share * bit, len(mass))
-    return ones, mass
+    return seen_all, ones, mass
 
 
 def first_weights() -> np.ndarray:
@@ -308,20 +302,21 @@ def context_tables(words: DataFrame) -> bytes:
     def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tables = tally_bits(word_batches(batches))
         for number in range(SLICES if tables is not None else 0):
-            part = tables[number * width : (number + 1) * width].tobytes()
+            part = zstandard.compress(tables[number * width : (number + 1) * width].tobytes(), 1)
             yield pa.RecordBatch.from_arrays([pa.array([number], pa.int32()), pa.array([part], pa.binary())], names=["slice", "counts"])
 
     def total(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[int, np.ndarray] = {}
         for batch in batches:
             for number, part in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                sums[number] = sums.get(number, np.float32(0)) + np.frombuffer(part, np.float32)
+                sums[number] = sums.get(number, np.float32(0)) + np.frombuffer(zstandard.decompress(part), np.float32)
         for number, part in sums.items():
-            yield pa.RecordBatch.from_arrays([pa.array([number], pa.int32()), pa.array([part.tobytes()], pa.binary())], names=["slice", "counts"])
+            packed = zstandard.compress(part.tobytes(), 1)
+            yield pa.RecordBatch.from_arrays([pa.array([number], pa.int32()), pa.array([packed], pa.binary())], names=["slice", "counts"])
 
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in total(batches):
-            counts = sixteen_bits(np.frombuffer(batch.column(1)[0].as_py(), np.float32)).tobytes()
+            counts = sixteen_bits(np.frombuffer(zstandard.decompress(batch.column(1)[0].as_py()), np.float32)).tobytes()
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([counts], pa.binary())], names=["slice", "counts"])
 
     # At most 32 partial sums of a slice meet in a task first; a second step joins those.
@@ -353,35 +348,26 @@ def cells(row: np.ndarray, col: np.ndarray, value: np.ndarray, mass: np.ndarray)
     return pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip((row, col, value, mass), kinds, strict=True)], names=["row", "col", "value", "mass"])
 
 
-def mixing_weights(words: DataFrame, tables: str) -> np.ndarray:
-    """Weights learnt online in each task, averaged by the tokens each gate has seen."""
+def learnt(words: DataFrame, tables: str) -> tuple[np.ndarray, np.ndarray]:
+    """(weights, refining map): weights are averaged by the tokens each gate has seen in a task, the map's counts are added."""
 
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = Model(mapped_tables(tables), first_weights())
-        mass = learn_weights(word_batches(batches), model)
-        gate, k = np.nonzero((mass > 0)[:, None] & np.ones(CONTEXTS + 1, bool))
-        if len(gate):
-            yield cells(gate, k, model.weights[gate, k] * mass[gate], mass[gate])
-
-    weights = first_weights()
-    for (gate, k), (value, mass) in summed_cells(words.mapInArrow(learn, CELLS)).items():
-        weights[gate, k] = value / mass
-    return weights
-
-
-def refining_map(words: DataFrame, tables: str, weights: np.ndarray) -> np.ndarray:
-    """The refining map, counted over all training words."""
-
-    def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ones, mass = tally_map(word_batches(batches), Model(mapped_tables(tables), weights))
+        seen, ones, mass = learn_online(word_batches(batches), model)
+        gate, k = np.nonzero((seen > 0)[:, None] & np.ones(CONTEXTS + 1, bool))
         place = np.nonzero(mass)[0]
         if len(place):
-            yield cells(place // MAP_STEPS, place % MAP_STEPS, ones[place], mass[place])
+            yield cells(gate, k, model.weights[gate, k] * seen[gate], seen[gate])
+            yield cells(GATES + place // MAP_STEPS, place % MAP_STEPS, ones[place], mass[place])
 
+    weights = first_weights()
     ones, mass = np.zeros((GATES, MAP_STEPS)), np.zeros((GATES, MAP_STEPS))
-    for (gate, step), (value, seen) in summed_cells(words.mapInArrow(tally, CELLS)).items():
-        ones[gate, step], mass[gate, step] = value, seen
-    return map_from(ones.ravel(), mass.ravel())
+    for (row, col), (value, seen) in summed_cells(words.mapInArrow(learn, CELLS)).items():
+        if row < GATES:
+            weights[row, col] = value / seen
+        else:
+            ones[row - GATES, col], mass[row - GATES, col] = value, seen
+    return weights, map_from(ones.ravel(), mass.ravel())
 
 
 def scored_words(words: DataFrame, model: tuple[str, np.ndarray, np.ndarray], shares: np.ndarray) -> DataFrame:
@@ -424,8 +410,7 @@ def fit(spark: SparkSession, words: DataFrame) -> tuple[str, np.ndarray, np.ndar
     """(name of the table file, weights, refining map) from the words of training documents and their counts."""
     known = words.where("n > 0").select("word", "n")
     tables = shared_file(spark, context_tables(known), "contexts.bin")
-    weights = mixing_weights(known, tables)
-    return tables, weights, refining_map(known, tables, weights)
+    return tables, *learnt(known, tables)
 
 
 def score(docs: DataFrame, trains: Column, key: str = "doc_id", text: str = "text") -> DataFrame:
