@@ -28,6 +28,7 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import small_batches, texts
 
@@ -138,16 +139,34 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     return Model(good, bad, tuple(center), tuple(scale), tuple(weights))
 
 
+def probabilities(values: list[str], model: Model) -> np.ndarray:
+    features = np.array([evidence(value, model.good, model.bad) for value in values]).reshape(-1, 3)
+    linear = design(features, np.array(model.center), np.array(model.scale)) @ np.array(model.weights)
+    return 1 / (1 + np.exp(-np.clip(linear, -35, 35)))
+
+
 def score(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(key, score): the probability that each whole text is good."""
     small_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            features = np.array([evidence(value, model.good, model.bad) for value in texts(batch)]).reshape(-1, 3)
-            linear = design(features, np.array(model.center), np.array(model.scale)) @ np.array(model.weights)
-            scores = 1 / (1 + np.exp(-np.clip(linear, -35, 35)))
+            scores = probabilities(texts(batch), model)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(scores, pa.float64())], names=[key, "score"])
 
     rows = docs.select(key, F.col(text).alias("text"))
     return rows.mapInArrow(run, f"`{key}` {rows.schema[0].dataType.simpleString()}, score double")
+
+
+def scored(docs: DataFrame, model: Model, text: str = "text", name: str = "score") -> DataFrame:
+    """The rows as they are, with a score; a column of that name is replaced."""
+    small_batches(docs.sparkSession)
+    schema = docs.drop(name).schema
+    place = schema.fieldNames().index(text)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            values = [value or "" for value in batch.column(place).to_pylist()]
+            yield batch.append_column(name, pa.array(probabilities(values, model), pa.float64()))
+
+    return docs.drop(name).mapInArrow(run, T.StructType([*schema.fields, T.StructField(name, T.DoubleType())]))

@@ -46,13 +46,18 @@ NOTICES = {
 }
 
 
-def shingles(text: Column) -> Column:
-    """Hashes of a text's word shingles, in order."""
-    words = F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit(r"[\p{L}\p{N}]+"), 0)
-    hashes = F.transform(words, lambda word: F.xxhash64(word))
-    last = F.greatest(F.size(hashes) - SHINGLE + 1, F.least(F.size(hashes), F.lit(1)))
-    starts = F.when(last > 0, F.sequence(F.lit(1), last)).otherwise(F.array().cast("array<int>"))
-    return F.transform(starts, lambda at: F.xxhash64(*[F.get(hashes, at - 1 + k) for k in range(SHINGLE)]))
+def computed(rows: DataFrame, name: str, value: Column, *keep: str) -> DataFrame:
+    """The kept columns and a value that is computed once: a generator is a step that filters are not pushed through."""
+    return rows.select(*keep, F.explode(F.array(value)).alias(name))
+
+
+def with_shingles(rows: DataFrame, name: str, *keep: str) -> DataFrame:
+    """The kept columns and the hashes of the word shingles of ``text``, in order."""
+    words = F.regexp_extract_all(F.lower(F.coalesce(F.col("text"), F.lit(""))), F.lit(r"[\p{L}\p{N}]+"), 0)
+    hashed = computed(rows, "word_hashes", F.transform(words, lambda word: F.xxhash64(word)), *keep)
+    every = F.transform("word_hashes", lambda word, at: F.xxhash64(word, *[F.get("word_hashes", at + k) for k in range(1, SHINGLE)]))
+    last = F.greatest(F.size("word_hashes") - SHINGLE + 1, F.least(F.size("word_hashes"), F.lit(1)))
+    return computed(hashed, name, F.slice(every, F.lit(1), last), *keep)
 
 
 def band(number: int, value: Column) -> Column:
@@ -67,17 +72,19 @@ def bands(values: Column) -> Column:
 
 def scan(docs: DataFrame, templates: DataFrame, key: str = "doc_id", text: str = "text", name: str = "license", least: float = LEAST) -> DataFrame:
     """(key, license, containment, window): each text's best window for each template found in it; templates are (license, text)."""
-    own = templates.select(F.col(name).alias("license"), F.array_distinct(shingles(F.col("text"))).alias("wanted")).where(F.size("wanted") > 0)
+    own = with_shingles(templates.select(F.col(name).alias("license"), "text"), "wanted", "license")
+    own = own.withColumn("wanted", F.array_distinct("wanted")).where(F.size("wanted") > 0)
     every = [row.s for row in own.select(F.explode("wanted").alias("s")).distinct().limit(MOST_TEMPLATE_SHINGLES + 1).collect()]
     if len(every) > MOST_TEMPLATE_SHINGLES:
         raise ValueError(f"the templates have more than {MOST_TEMPLATE_SHINGLES} shingles: scan them in several passes")
     known = F.lit(every) if every else F.array().cast("array<bigint>")
     # Texts without any shingle of a template have no window to compare.
-    rows = docs.select(F.col(key).alias("key"), shingles(F.col(text)).alias("all")).where(F.arrays_overlap("all", known))
+    rows = with_shingles(docs.select(F.col(key).alias("key"), F.col(text).alias("text")), "all", "key").where(F.arrays_overlap("all", known))
     count = F.ceil(F.size("all") / STRIDE).cast("int")
     windows = rows.select("key", "all", F.explode(F.sequence(F.lit(0), F.greatest(count - 2, F.lit(0)))).alias("window"))
-    held = windows.select("key", "window", F.array_intersect(F.slice("all", F.col("window") * STRIDE + 1, F.lit(2 * STRIDE)), known).alias("held"))
-    banded = held.where(F.size("held") > 0).select("key", "window", "held", F.explode(bands(F.col("held"))).alias("band"))
+    part = F.slice("all", F.col("window") * STRIDE + 1, F.lit(2 * STRIDE))
+    held = computed(windows, "held", F.array_intersect(part, known), "key", "window").where(F.size("held") > 0)
+    banded = held.select("key", "window", "held", F.explode(bands(F.col("held"))).alias("band"))
     template_bands = own.select("license", "wanted", F.explode(bands(F.col("wanted"))).alias("band"))
     met = banded.join(F.broadcast(template_bands), "band").select("key", "window", "held", "license", "wanted")
     share = F.size(F.array_intersect("held", "wanted")) / F.size("wanted")

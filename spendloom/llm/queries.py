@@ -8,8 +8,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import anchor_pii, compression_quality, context_mixing, hnsw, license_scan, quartile_digest, signature_join, slack_packing, transducer_bpe
-from .common import fold, table
+from spendloom.session import scratch_folder
+
+from . import anchor_pii, compression_quality, context_mixing, hnsw, license_scan, quartile_digest, signature_join, slack_packing, token_counts, transducer_bpe
+from .common import fold, table, written
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -108,3 +110,22 @@ def op10_license_bands(spark: SparkSession, folder: str) -> DataFrame:
     """Licence notices in every text."""
     templates = spark.createDataFrame(list(license_scan.NOTICES.items()), "license string, text string")
     return license_scan.scan(table(spark, folder, "documents", "doc_id", "text"), templates)
+
+
+@query
+def op1_token_rollup(spark: SparkSession, folder: str) -> DataFrame:
+    """Token totals after three commits: all documents come in, toxic ones go, and those of low quality are counted anew as words."""
+    docs = table(spark, folder, "documents", "doc_id", "source", "lang", "text")
+    labels = table(spark, folder, "labels", "doc_id", "quality", "toxic")
+    counts = written(token_counts.bpe_counts(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), "byte_bpe_50k"))
+    toxic = labels.where("toxic = 1").select("doc_id").distinct()
+    poor = labels.where("quality = 0").select("doc_id").distinct().join(toxic, "doc_id", "left_anti")
+    words = token_counts.word_counts(docs.join(poor, "doc_id", "left_semi"), "words")
+    rollup = token_counts.TokenRollup(spark, scratch_folder(spark))
+    load = token_counts.signed(counts, 1)
+    rollup.apply("load", load)
+    rollup.apply("toxic", token_counts.signed(counts.join(toxic, "doc_id", "left_semi"), -1))
+    rollup.compact()
+    rollup.apply("recount", token_counts.revised(counts.join(poor, "doc_id", "left_semi"), words))
+    rollup.apply("load", load)  # committed already: changes nothing
+    return rollup.totals()
