@@ -48,7 +48,7 @@ from pyspark.sql import functions as F
 
 from .common import runs, shared_file, small_batches, written
 
-BLOCK_BYTES = 8_000_000
+BLOCK_BYTES = 16_000_000
 ORDERS = (2, 3, 4, 6)  # and the whole word so far
 CONTEXTS = len(ORDERS) + 1
 TABLE_BITS = (18, 19, 20, 20, 21)  # slots of each predictor's hashed table
@@ -453,12 +453,12 @@ def score(docs: DataFrame, trains: Column, key: str = "doc_id", text: str = "tex
             times[code], chance[code] = head.column("n").to_numpy(), head.column("score").to_numpy()
             base = np.log10((times + 0.1) / (tokens + 0.1 * (distinct + 1)))
             seen = times > 0
-            lifts = np.zeros((size, GROUPS), np.int32)
+            lifts = np.zeros((size, GROUPS), np.int16)
             lifts[code] = np.frombuffer(b"".join(head.column("lift").to_pylist()), np.int8).reshape(-1, GROUPS)
             out = []
             for packed in rest.column("codes").to_pylist():
                 codes = np.append(np.frombuffer(packed, np.uint32), np.uint32(0))
-                out.append((len(codes), int(seen[codes].sum()), tokens, float(base[codes].sum()), float(chance[codes].sum() + mixed_groups(lifts[codes].sum(0), len(codes)))))
+                out.append((len(codes), int(seen[codes].sum()), tokens, float(base[codes].sum()), float(chance[codes].sum() + mixed_groups(lifts[codes].sum(0, dtype=np.int64), len(codes)))))
             if out:
                 columns = [pa.array(c, k) for c, k in zip(zip(*out, strict=True), [pa.int64()] * 3 + [pa.float64()] * 2, strict=True)]
                 keys = rest.column("key").combine_chunks()
