@@ -13,8 +13,8 @@ Two documents link when the Jaccard similarity of their shingle sets reaches a t
    shingles from all over a text: a passage that many documents share makes no candidates.
    Each key links its documents to the smallest one, never in pairs.
 3. The candidate links' components are blocks; no true link leaves a block.  Texts of blocks are read
-   again, and each block is dealt to tiles of ``TILE`` sets; each pair of tiles is a task of its own,
-   so no block, however large, meets in one task.
+   again, and each size class of a block is dealt to tiles of ``TILE`` sets; each pair of tiles is a
+   unit of its own, so no block, however large, meets in one task.
 4. A tile's sets form a signature tree: nodes hold the OR of their sets' hashed bitmaps and the range
    of sizes.  Two trees are traversed together; a pair of nodes is left when the overlap it can reach
    at most is too small for the threshold.  What is left is verified on the whole sets; a pair
@@ -109,18 +109,24 @@ def len_per_part(top: int, apart: int, percent: int) -> float:
     return top * percent * percent / 10_000 / (apart + 1)
 
 
-def set_rows(docs: DataFrame, words: int) -> DataFrame:
-    """(doc_id, n, digest): the size and digest of each document's set."""
+def set_rows(docs: DataFrame, words: int, percent: int) -> DataFrame:
+    """(doc_id, n, tag, digest): the size, size class and digest of each document's set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sets = [shingle_set(data or b"", words) for data in batch.column(1).to_pylist()]
             digests = [blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(map(len, sets), pa.int64()), pa.array(digests, pa.binary())], names=["doc_id", "n", "digest"]
+                [
+                    batch.column(0),
+                    pa.array(map(len, sets), pa.int64()),
+                    pa.array([size_class(len(s), percent)[0] for s in sets], pa.int64()),
+                    pa.array(digests, pa.binary()),
+                ],
+                names=["doc_id", "n", "tag", "digest"],
             )
 
-    return docs.mapInArrow(run, "doc_id bigint, n bigint, digest binary")
+    return docs.mapInArrow(run, "doc_id bigint, n bigint, tag bigint, digest binary")
 
 
 def candidate_links(docs: DataFrame, words: int, percent: int) -> DataFrame:
@@ -281,26 +287,30 @@ def tile_links(ids: list[int], sets: list[np.ndarray], second: np.ndarray, perce
 
 def true_links(docs: DataFrame, blocks: DataFrame, words: int, percent: int) -> DataFrame:
     """(one, other): verified links that connect each block's linked documents."""
-    sizes = blocks.groupBy("component").agg(F.ceil(F.count("*") / TILE).alias("tiles"))
-    placed = blocks.join(sizes, "component").withColumn("tile", F.pmod(F.xxhash64("node"), "tiles"))
+    # Linked sets share a class, so each class of a block is a block of its own; one set alone needs no task.
+    classed = blocks.withColumn("tag", F.explode(F.array("tag", F.col("tag") + 1)))
+    sizes = classed.groupBy("component", "tag").agg(F.count("*").alias("n")).where("n > 1")
+    tiled = sizes.select("component", "tag", F.ceil(F.col("n") / TILE).alias("tiles"))
+    placed = classed.join(tiled, ["component", "tag"]).withColumn("tile", F.pmod(F.xxhash64("node"), "tiles"))
+    places = placed.groupBy("node").agg(F.collect_set(F.struct("component", "tag", "tile", "tiles")).alias("places"))  # two, or one
     # The same plan at every size: texts are dealt by id, blocks are not broadcast.
-    sent = docs.hint("merge").join(placed, docs["doc_id"] == placed["node"]).select("doc_id", "text", "component", "tile", "tiles")
+    sent = docs.hint("merge").join(places, docs["doc_id"] == places["node"]).select("doc_id", "text", "places")
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sets = [shingle_set(data or b"", words).tobytes() for data in batch.column("text").to_pylist()]
-            columns = [batch.column(name) for name in ("doc_id", "component", "tile", "tiles")]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(sets, pa.binary())], names=["doc_id", "component", "tile", "tiles", "elements"])
+            columns = [batch.column("doc_id"), batch.column("places"), pa.array(sets, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "places", "elements"])
 
-    held = sent.mapInArrow(read, "doc_id bigint, component bigint, tile bigint, tiles bigint, elements binary")
+    kind = "array<struct<component:bigint,tag:bigint,tile:bigint,tiles:bigint>>"
+    held = sent.mapInArrow(read, f"doc_id bigint, places {kind}, elements binary")
+    each = held.withColumn("place", F.explode("places")).select("doc_id", "elements", "place.*")
     # A set goes to each pair of tiles that its own is part of.
-    mates = held.withColumn("mate", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("tiles") - 1)))
-    pair = F.xxhash64("component", F.least("tile", "mate"), F.greatest("tile", "mate"))
-    paired = mates.select(
-        pair.alias("pair"), "component", F.least("tile", "mate").alias("low"), F.greatest("tile", "mate").alias("high"),
-        (F.col("tile") > F.col("mate")).alias("second"), "doc_id", "elements",
-    )
-    dealt = paired.repartition("pair").sortWithinPartitions("pair", "component", "low", "high")
+    mates = each.withColumn("mate", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("tiles") - 1)))
+    low, high = F.least("tile", "mate").alias("low"), F.greatest("tile", "mate").alias("high")
+    pair = F.xxhash64("component", "tag", low, high).alias("pair")
+    paired = mates.select(pair, "component", "tag", low, high, (F.col("tile") > F.col("mate")).alias("second"), "doc_id", "elements")
+    dealt = paired.repartition("pair").sortWithinPartitions("pair", "component", "tag", "low", "high")
 
     def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, rows in runs(with_tile_pair(batches), "tile_pair"):
@@ -320,9 +330,9 @@ def true_links(docs: DataFrame, blocks: DataFrame, words: int, percent: int) ->
 
 
 def with_tile_pair(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Batches with the component and its two tiles as one column."""
+    """Batches with the component, the class and its two tiles as one column."""
     for batch in batches:
-        names = [f"{c}:{a}:{b}" for c, a, b in zip(*(batch.column(n).to_pylist() for n in ("component", "low", "high")), strict=True)]
+        names = [":".join(map(str, row)) for row in zip(*(batch.column(n).to_pylist() for n in ("component", "tag", "low", "high")), strict=True)]
         yield batch.append_column("tile_pair", pa.array(names, pa.string()))
 
 
@@ -330,7 +340,7 @@ def groups(docs: DataFrame, words: int = 5, percent: int = 80, key: str = "doc_i
     """(doc_id, n_shingles, component_id) of every row: the set's size and the smallest id its links reach."""
     small_batches(docs.sparkSession)
     rows = docs.select(F.col(key).cast("bigint").alias("doc_id"), F.col(text).cast("binary").alias("text"))
-    sets = written(set_rows(rows, words))
+    sets = written(set_rows(rows, words, percent))
     # Equal sets are one node, named by the smallest id.
     same = sets.where("n > 0 AND doc_id IS NOT NULL").groupBy("digest").agg(F.min("doc_id").alias("node"))
     nodes = written(sets.where("n > 0 AND doc_id IS NOT NULL").join(same, "digest").select("doc_id", "node").distinct())
@@ -339,7 +349,8 @@ def groups(docs: DataFrame, words: int = 5, percent: int = 80, key: str = "doc_i
     between = left.join(nodes.withColumnsRenamed({"doc_id": "other", "node": "b"}), "other").select(F.col("a").alias("one"), F.col("b").alias("other"))
     candidates = components(between.where("one <> other"))
     heads = candidates.select(F.col("component").alias("node"), "component").distinct()
-    blocks = written(candidates.select("node", "component").union(heads))
+    tags = sets.where("n > 0").select(F.col("doc_id").alias("node"), "tag").distinct()
+    blocks = written(candidates.select("node", "component").union(heads).join(tags, "node"))
     links = true_links(rows, blocks, words, percent)
     found = components(links)
     named = nodes.join(found, "node", "left").select("doc_id", F.coalesce("component", "node").alias("component_id"))
