@@ -190,7 +190,7 @@ class BillingLake:
         try:
             rows, schema = self.write_load(make_lines(), period, version_id, load_id)
         except Exception as error:
-            self.fail_load(period, version_id, load_id, str(error)[:2000])
+            self.fail_load(period, version_id, load_id, str(error))
             raise
         self.complete_load(period, version_id, load_id, rows, schema)
         return rows

@@ -192,7 +192,7 @@ def quality_report(lines: DataFrame, period: str = "billing_period") -> DataFram
 
 
 def focus_quality_report(records: DataFrame) -> DataFrame:
-    period = F.date_format(F.col("BillingPeriodStart").cast("timestamp"), "yyyy-MM")
+    period = F.date_format(F.col("BillingPeriodStart").try_cast("timestamp"), "yyyy-MM")
     return rule_report(records, period, focus_rules(records))
 
 

@@ -26,7 +26,9 @@ def recent_gcp_lines(
         F.col("usage.amount").alias("usage_amount"),
         F.col("usage.unit").alias("usage_unit"),
     )
-    return lines.orderBy(F.desc("usage_start_time")) if ordered else lines
+    # All columns break ties, so that rows of one hour can be split over tasks.
+    ties = [name for name in lines.columns if name != "usage_start_time"]
+    return lines.orderBy(F.desc("usage_start_time"), *ties) if ordered else lines
 
 
 def standard_gcp_lines(lines: DataFrame) -> DataFrame:
