@@ -10,7 +10,8 @@ Two documents link when the Jaccard similarity of their shingle sets reaches a t
    linked sets share a class.  In a class with bound k the hash space is cut into more than k parts,
    so linked sets agree on a whole part, and, with the spare parts, on one that is not empty (a set
    with more empty parts than spares also offers one key for all of them).  Parts hold several
-   shingles from all over a text: a passage that many documents share makes no candidates.
+   shingles from all over a text, so a shared passage makes few candidates at nine tenths; at eight
+   tenths parts are small, and passages that many documents share make many.
    Each key links its documents to the smallest one, never in pairs.
 3. The candidate links' components are blocks; no true link leaves a block.  Texts of blocks are read
    again, and each size class of a block is dealt to tiles of ``TILE`` sets; each pair of tiles is a
