@@ -67,7 +67,11 @@ def band(number: int, value: Column) -> Column:
 
 def bands(values: Column) -> Column:
     """The MinHash value of each band, with its number, as one hash."""
-    return F.array(*[F.xxhash64(F.lit(n), F.array_min(F.transform(values, lambda v, n=n: band(n, v)))) for n in range(BANDS)])
+
+    def least(number: int) -> Column:
+        return F.array_min(F.transform(values, lambda value: band(number, value)))  # a second argument would be the place
+
+    return F.array(*[F.xxhash64(F.lit(number), least(number)) for number in range(BANDS)])
 
 
 def scan(docs: DataFrame, templates: DataFrame, key: str = "doc_id", text: str = "text", name: str = "license", least: float = LEAST) -> DataFrame:
