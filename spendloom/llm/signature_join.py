@@ -5,17 +5,18 @@ Two documents link when the Jaccard similarity of their shingle sets reaches a t
 
 1. Each text becomes its set of hashed word shingles (64 bits), and a digest of the set: documents
    with equal sets are one from here on, whatever their number.
-2. Candidates.  Linked sets of sizes a and b differ in at most k = (a + b)(100 - p) / (100 + p)
-   elements.  Sets are dealt to size classes; each set joins its own class and the next one, so
-   linked sets share a class.  In a class with bound k the hash space is cut into more than k parts,
-   so linked sets agree on a whole part, and, with the spare parts, on one that is not empty (a set
-   with more empty parts than spares also offers one key for all of them).  Parts hold several
-   shingles from all over a text, so a shared passage makes few candidates at nine tenths; at eight
-   tenths parts are small, and passages that many documents share make many.
-   Each key links its documents to the smallest one, never in pairs.
+2. Candidates.  All sets are put into one order of shingles, the rarest first, so linked sets share
+   one of their first ``n - ceil(p n) + 1`` shingles (otherwise too few would be left to agree on).
+   Any one order gives all links; rarity only keeps passages that many documents share at the end,
+   where they make no candidates.  Rarity is read from a table of ``COUNTERS`` hashed counts over
+   all documents: its size doesn't grow, whatever the corpus.
+   Each key links its documents to the smallest one, never in pairs; documents that meet in one
+   buffer of a task are linked there, and only the first goes on, so a hot key is a row per buffer.
 3. The candidate links' components are blocks; no true link leaves a block.  Texts of blocks are read
-   again, and each size class of a block is dealt to tiles of ``TILE`` sets; each pair of tiles is a
-   unit of its own, so no block, however large, meets in one task.
+   again.  A block that weighs no more than ``TILE`` is a tile, and each of its sets is sent once.  In
+   a heavier one, sets are dealt to size classes; each set joins its own class and the next one, so
+   linked sets share a class.  A class is dealt to tiles; each pair of tiles is a unit of its own, so
+   no block, however large, meets in one task.
 4. A tile's sets form a signature tree: nodes hold the OR of their sets' hashed bitmaps and the range
    of sizes.  Two trees are traversed together; a pair of nodes is left when the overlap it can reach
    at most is too small for the threshold.  What is left is verified on the whole sets; a pair
@@ -31,21 +32,26 @@ empty table gives no rows.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
+from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import runs, small_batches, written
+from .common import runs, shared_file, small_batches, written
 
-TILE = 2048
+TILE = 8 << 20  # weight of the sets that one task compares: their shingles and SET_WEIGHT for each
+SET_WEIGHT = 256
 FANOUT = 16
 BITMAP_BITS = 2048
+COUNTERS = 1 << 22  # hashed shingle counts that order the shingles
+COUNTER_BLOCKS = 64
+KEYS_AT_ONCE = 1 << 20  # keys of a task that are linked before they are sent
 
 
 def word_hashes(data: bytes) -> np.ndarray:
@@ -67,11 +73,6 @@ def shingle_set(data: bytes, words: int) -> np.ndarray:
     return np.unique(total * np.uint64(0xD6E8FEB86659FD93) ^ np.uint64(size))
 
 
-def most_apart(sizes: int, percent: int) -> int:
-    """How many elements linked sets may differ in, from the sum of their sizes."""
-    return sizes * (100 - percent) // (100 + percent)
-
-
 def size_class(size: int, percent: int) -> tuple[int, int]:
     """(number of the class, largest size in it): classes in which the smallest still links to the largest, at least."""
     number, largest = 0, 1
@@ -80,34 +81,59 @@ def size_class(size: int, percent: int) -> tuple[int, int]:
     return number, largest
 
 
-def keys_of(elements: np.ndarray, percent: int) -> list[int]:
-    """Keys of a set: linked sets have one in common."""
-    number, largest = size_class(len(elements), percent)
-    following = max(largest + 1, largest * 100 // percent)
-    keys: list[np.ndarray] = []
-    for tag, top in ((number, largest), (number + 1, following)):
-        apart = most_apart(2 * top, percent)
-        spare = math.ceil(2 * (apart + 1) * math.exp(-len_per_part(top, apart, percent))) + 3 if apart else 0
-        parts = apart + 1 + spare
-        # The upper half of a hash picks the part; elements are sorted, so parts are runs.
-        part = ((elements >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)
-        starts = np.concatenate([[0], np.nonzero(part[1:] != part[:-1])[0] + 1])
-        mixed = elements * np.uint64(0xC2B2AE3D27D4EB4F)
-        mixed ^= mixed >> np.uint64(29)
-        mixed *= np.uint64(0x9E3779B97F4A7C15)
-        sums = np.add.reduceat(mixed, starts)
-        lengths = np.diff(np.append(starts, len(elements))).astype(np.uint64)
-        salt = (part[starts] + np.uint64(tag << 32)) * np.uint64(0xD6E8FEB86659FD93) + lengths
-        found = (sums ^ salt) * np.uint64(0x9E3779B97F4A7C15)
-        keys.append(found ^ found >> np.uint64(32))
-        if parts - len(starts) > spare:
-            keys.append(np.array([tag * 2 + 1], np.uint64))
-    return np.concatenate(keys).view(np.int64)
-
-
-def len_per_part(top: int, apart: int, percent: int) -> float:
-    """Expected shingles of the smallest set of a class and the one before it in a part."""
-    return top * percent * percent / 10_000 / (apart + 1)
+def counter_of(elements: np.ndarray) -> np.ndarray:
+    """The place of each shingle in the table of counts."""
+    return (elements * np.uint64(0xC2B2AE3D27D4EB4F) >> np.uint64(42)).astype(np.int64)
+
+
+def shingle_levels(docs: DataFrame, words: int) -> bytes:
+    """Logarithms, in eighths, of the hashed shingle counts over all documents: a table of ``COUNTERS`` bytes."""
+    width = COUNTERS // COUNTER_BLOCKS
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros(COUNTERS, np.uint32)
+        for batch in batches:
+            for data in batch.column(1).to_pylist():
+                counts[counter_of(shingle_set(data or b"", words))] += 1
+        packed = [zstandard.compress(counts[start : start + width].tobytes()) for start in range(0, COUNTERS, width)]
+        yield pa.RecordBatch.from_arrays([pa.array(range(COUNTER_BLOCKS), pa.int32()), pa.array(packed, pa.binary())], names=["block", "counts"])
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for block, counts in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                sums.setdefault(block, np.zeros(width, np.int64))
+                sums[block] += np.frombuffer(zstandard.decompress(counts), np.uint32)
+        levels = [np.minimum(8 * np.log2(1.0 + counts), 255).astype(np.uint8).tobytes() for counts in sums.values()]
+        yield pa.RecordBatch.from_arrays([pa.array(sums, pa.int32()), pa.array(levels, pa.binary())], names=["block", "counts"])
+
+    kind = "block int, counts binary"
+    found = docs.mapInArrow(count, kind).repartition(COUNTER_BLOCKS, "block").mapInArrow(add, kind)
+    levels = {row.block: bytes(row.counts) for row in found.collect()}  # COUNTERS bytes in all
+    return b"".join(levels.get(block, bytes(width)) for block in range(COUNTER_BLOCKS))
+
+
+def keys_of(elements: np.ndarray, levels: np.ndarray, percent: int) -> np.ndarray:
+    """The first shingles of a set, the rarest first: linked sets have one in common."""
+    first = len(elements) - -(-percent * len(elements) // 100) + 1
+    return elements[np.lexsort((elements, levels[counter_of(elements)]))[:first]]
+
+
+def linked_in_buffer(keys: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Rows of fewer keys that connect the same documents.
+
+    The smallest document of a key stands for it; the others are linked to that document under a key
+    made of its id, once, whatever the number of keys they share with it.
+    """
+    order = np.lexsort((ids, keys))
+    keys, ids = keys[order], ids[order]
+    starts = np.concatenate([[True], keys[1:] != keys[:-1]])
+    heads = ids[np.maximum.accumulate(np.where(starts, np.arange(len(keys)), 0))]
+    others = heads != ids
+    pairs = np.unique(np.stack([heads[others], ids[others]]), axis=1)
+    hubs = np.unique(pairs[0])
+    named = np.concatenate([hubs, pairs[0]]).view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) ^ np.uint64(0x94D049BB133111EB)
+    return np.concatenate([keys[starts], named]), np.concatenate([ids[starts], hubs, pairs[1]])
 
 
 def set_rows(docs: DataFrame, words: int, percent: int) -> DataFrame:
@@ -132,18 +158,30 @@ def set_rows(docs: DataFrame, words: int, percent: int) -> DataFrame:
 
 def candidate_links(docs: DataFrame, words: int, percent: int) -> DataFrame:
     """(one, other): each document of a key with the smallest one of that key."""
+    name = shared_file(docs.sparkSession, shingle_levels(docs, words), "levels")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        levels = np.fromfile(SparkFiles.get(name), np.uint8)
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+
+        def told() -> Iterator[pa.RecordBatch]:
+            if held:
+                keys, ids = linked_in_buffer(*(np.concatenate(part) for part in zip(*held, strict=True)))
+                held.clear()
+                yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(ids)], names=["key", "doc_id"])
+
+        size = 0
         for batch in batches:
-            ids, keys = [], []
             for doc_id, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 elements = shingle_set(data or b"", words)
                 if doc_id is not None and len(elements):
-                    found = keys_of(elements, percent)
-                    keys.append(found)
-                    ids.append(np.full(len(found), doc_id))
-            if ids:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys)), pa.array(np.concatenate(ids))], names=["key", "doc_id"])
+                    found = keys_of(elements, levels, percent)
+                    held.append((found, np.full(len(found), doc_id, np.int64)))
+                    size += len(found)
+                if size >= KEYS_AT_ONCE:
+                    yield from told()
+                    size = 0
+        yield from told()
 
     keyed = docs.mapInArrow(run, "key bigint, doc_id bigint")
     # Rows of a key are sorted with the smallest id first, so one pass over a partition links them.
@@ -288,10 +326,13 @@ def tile_links(ids: list[int], sets: list[np.ndarray], second: np.ndarray, perce
 
 def true_links(docs: DataFrame, blocks: DataFrame, words: int, percent: int) -> DataFrame:
     """(one, other): verified links that connect each block's linked documents."""
-    # Linked sets share a class, so each class of a block is a block of its own; one set alone needs no task.
-    classed = blocks.withColumn("tag", F.explode(F.array("tag", F.col("tag") + 1)))
-    sizes = classed.groupBy("component", "tag").agg(F.count("*").alias("n")).where("n > 1")
-    tiled = sizes.select("component", "tag", F.ceil(F.col("n") / TILE).alias("tiles"))
+    # Linked sets share a class, so each class of a heavy block is a block of its own; one set alone needs no task.
+    weight = F.sum(F.col("n") + SET_WEIGHT).alias("weight")
+    heavy = blocks.groupBy("component").agg(weight).where(F.col("weight") > TILE).select("component", F.lit(True).alias("heavy"))
+    tags = F.when(F.col("heavy"), F.array("tag", F.col("tag") + 1)).otherwise(F.array(F.lit(-1).cast("bigint")))
+    classed = blocks.join(heavy, "component", "left").select("node", "component", "n", F.explode(tags).alias("tag"))
+    sizes = classed.groupBy("component", "tag").agg(F.count("*").alias("sets"), weight).where("sets > 1")
+    tiled = sizes.select("component", "tag", F.ceil(F.col("weight") / TILE).alias("tiles"))
     placed = classed.join(tiled, ["component", "tag"]).withColumn("tile", F.pmod(F.xxhash64("node"), "tiles"))
     places = placed.groupBy("node").agg(F.collect_set(F.struct("component", "tag", "tile", "tiles")).alias("places"))  # two, or one
     # The same plan at every size: texts are dealt by id, blocks are not broadcast.
@@ -315,7 +356,7 @@ def true_links(docs: DataFrame, blocks: DataFrame, words: int, percent: int) ->
 
     def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, rows in runs(with_tile_pair(batches), "tile_pair"):
-            sets = [np.frombuffer(x, np.uint64) for x in rows.column("elements").to_pylist()]
+            sets = [np.frombuffer(x.as_buffer(), np.uint64) for x in rows.column("elements")]  # views, no copies
             second = rows.column("second").to_numpy()
             if second.any() and second.all():
                 continue
@@ -350,7 +391,7 @@ def groups(docs: DataFrame, words: int = 5, percent: int = 80, key: str = "doc_i
     between = left.join(nodes.withColumnsRenamed({"doc_id": "other", "node": "b"}), "other").select(F.col("a").alias("one"), F.col("b").alias("other"))
     candidates = components(between.where("one <> other"))
     heads = candidates.select(F.col("component").alias("node"), "component").distinct()
-    tags = sets.where("n > 0").select(F.col("doc_id").alias("node"), "tag").distinct()
+    tags = sets.where("n > 0").select(F.col("doc_id").alias("node"), "tag", "n").distinct()
     blocks = written(candidates.select("node", "component").union(heads).join(tags, "node"))
     links = true_links(rows, blocks, words, percent)
     found = components(links)

@@ -385,7 +385,7 @@ def brute_groups(texts, size, percent):
     return {i: (len(sets[i]), root(i)) for i in texts}
 
 
-@pytest.mark.parametrize(("size", "percent", "tile"), [(3, 90, 2048), (5, 80, 7), (1, 50, 3)])
+@pytest.mark.parametrize(("size", "percent", "tile"), [(3, 90, 8 << 20), (5, 80, 2000), (1, 50, 1000)])
 def test_groups_equal_brute_force(spark, monkeypatch, size, percent, tile):
     monkeypatch.setattr(signature_join, "TILE", tile)
     rng = random.Random(size)
