@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from spendloom.session import scratch_folder
 
 ROWS_PER_BATCH = 256  # rows handed to Python at once; texts may be long
+FREED_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def small_batches(spark: SparkSession) -> None:
@@ -24,10 +25,18 @@ def table(spark: SparkSession, folder: str, name: str, *columns: str) -> DataFra
 
 
 def written(df: DataFrame, *parts: str) -> DataFrame:
-    """The rows, written once to the folder all executors share and read back."""
+    """The rows, written once to the folder all executors share and read back.
+
+    The job's shuffle files are removed when it ends: later jobs read the table.
+    """
     spark = df.sparkSession
     path = scratch_folder(spark)
-    df.write.option("compression", "zstd").partitionBy(*parts).parquet(path)
+    before = spark.conf.get(FREED_SHUFFLES)
+    spark.conf.set(FREED_SHUFFLES, "true")
+    try:
+        df.write.option("compression", "zstd").partitionBy(*parts).parquet(path)
+    finally:
+        spark.conf.set(FREED_SHUFFLES, before)
     return spark.read.schema(df.schema).parquet(path)
 
 

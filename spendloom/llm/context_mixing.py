@@ -206,7 +206,7 @@ def tokenised(docs: DataFrame, trains: Column, key: str, text: str) -> DataFrame
             pairs = pa.StructArray.from_arrays([pa.array(group, pa.int32()), pa.array(times[group, word_at], pa.int64())], names=["g", "n"])
             counts = pa.ListArray.from_arrays(pa.array(starts), pairs)
             yield batch_of(0, size, word=pa.array(words, pa.binary()), code=pa.array(range(size), pa.int32()), counts=counts)
-            yield batch_of(1, len(keys), key=pa.array(keys, kind), codes=pa.array([c.tobytes() for c in codes], pa.binary()))
+            yield batch_of(1, len(keys), key=pa.array(keys, kind), codes=pa.array([zstandard.compress(c.tobytes(), 1) for c in codes], pa.binary()))
 
         def batch_of(which: int, size: int, **columns: pa.Array) -> pa.RecordBatch:
             kinds = {"key": kind, "codes": pa.binary(), "word": pa.binary(), "code": pa.int32(), "counts": pa.list_(pa.struct([("g", pa.int32()), ("n", pa.int64())]))}
@@ -457,7 +457,7 @@ def score(docs: DataFrame, trains: Column, key: str = "doc_id", text: str = "tex
             lifts[code] = np.frombuffer(b"".join(head.column("lift").to_pylist()), np.int8).reshape(-1, GROUPS)
             out = []
             for packed in rest.column("codes").to_pylist():
-                codes = np.append(np.frombuffer(packed, np.uint32), np.uint32(0))
+                codes = np.append(np.frombuffer(zstandard.decompress(packed), np.uint32), np.uint32(0))
                 out.append((len(codes), int(seen[codes].sum()), tokens, float(base[codes].sum()), float(chance[codes].sum() + mixed_groups(lifts[codes].sum(0, dtype=np.int64), len(codes)))))
             if out:
                 columns = [pa.array(c, k) for c, k in zip(zip(*out, strict=True), [pa.int64()] * 3 + [pa.float64()] * 2, strict=True)]

@@ -13,7 +13,7 @@ Two documents link when the Jaccard similarity of their shingle sets reaches a t
    Each key links its documents to the smallest one, never in pairs; documents that meet in one
    buffer of a task are linked there, and only the first goes on, so a hot key is a row per buffer.
 3. The candidate links' components are blocks; no true link leaves a block.  Texts of blocks are read
-   again.  A block that weighs no more than ``TILE`` is a tile, and each of its sets is sent once.  In
+   again and sent compressed, which takes a third of the room of their sets; tiles make the sets anew.  A block that weighs no more than ``TILE`` is a tile, and each of its sets is sent once.  In
    a heavier one, sets are dealt to size classes; each set joins its own class and the next one, so
    linked sets share a class.  A class is dealt to tiles; each pair of tiles is a unit of its own, so
    no block, however large, meets in one task.
@@ -48,7 +48,8 @@ from .common import runs, shared_file, small_batches, written
 TILE = 8 << 20  # weight of the sets that one task compares: their shingles and SET_WEIGHT for each
 SET_WEIGHT = 256
 FANOUT = 16
-BITMAP_BITS = 2048
+BITMAP_BITS = 2048  # at least; larger sets get four bits an element, so that bitmaps don't fill up
+BITMAPS_AT_ONCE = 1 << 25  # bytes of bitmaps compared at once
 COUNTERS = 1 << 22  # hashed shingle counts that order the shingles
 COUNTER_BLOCKS = 64
 KEYS_AT_ONCE = 1 << 20  # keys of a task that are linked before they are sent
@@ -231,14 +232,20 @@ def same_edges(one: DataFrame, other: DataFrame) -> bool:
     return one.agg(*measures).first() == other.agg(*measures).first()
 
 
+def bitmap_bits(sets: list[np.ndarray]) -> int:
+    """Bits of each set's bitmap: all bitmaps together take a sixteenth to an eighth of the sets' room, or the least width."""
+    return max(BITMAP_BITS, 1 << (4 * sum(map(len, sets)) // len(sets)).bit_length())
+
+
 class Tree:
     """A signature tree over sets: levels of OR-combined bitmaps, size ranges and largest excess of elements over bits."""
 
-    def __init__(self, sets: list[np.ndarray]):
-        bits = np.zeros((len(sets), BITMAP_BITS), np.uint8)
+    def __init__(self, sets: list[np.ndarray], width: int):
+        maps = np.empty((len(sets), width // 64), np.uint64)
         for i, elements in enumerate(sets):
-            bits[i, (elements >> np.uint64(13)) % np.uint64(BITMAP_BITS)] = 1
-        maps = np.packbits(bits, 1).view(np.uint64)
+            bits = np.zeros(width, np.uint8)
+            bits[(elements >> np.uint64(13)) % np.uint64(width)] = 1
+            maps[i] = np.packbits(bits).view(np.uint64)
         sizes = np.array([len(s) for s in sets])
         self.order = np.lexsort((np.array([s[0] for s in sets], np.uint64), sizes))
         maps, sizes = maps[self.order], sizes[self.order]
@@ -271,6 +278,7 @@ def children(nodes: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
 def leaf_pairs(one: Tree, other: Tree, percent: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Leaves that may link, found by going down both trees at once, some node pairs at a time."""
     height = max(len(one.levels), len(other.levels)) - 1
+    most = max(64, min(1 << 14, BITMAPS_AT_ONCE // one.levels[0][0][0].nbytes))
     held = [(height, np.zeros(1, np.int64), np.zeros(1, np.int64))]
     while held:
         level, i, j = held.pop()
@@ -290,8 +298,8 @@ def leaf_pairs(one: Tree, other: Tree, percent: int) -> Iterator[tuple[np.ndarra
         if second == level:
             parent, j = children(j, len(other.levels[level - 1][0]))
             i = i[parent]
-        for start in range(0, len(i), 1 << 14):
-            held.append((level - 1, i[start : start + (1 << 14)], j[start : start + (1 << 14)]))
+        for start in range(0, len(i), most):
+            held.append((level - 1, i[start : start + most], j[start : start + most]))
 
 
 def linked(one: np.ndarray, other: np.ndarray, percent: int) -> bool:
@@ -304,8 +312,9 @@ def tile_links(ids: list[int], sets: list[np.ndarray], second: np.ndarray, perce
     """Links that connect what is linked in one tile (none is of the second) or across two."""
     own = np.nonzero(~second)[0]
     opposite = np.nonzero(second)[0]
-    one = Tree([sets[i] for i in own])
-    other = Tree([sets[i] for i in opposite]) if len(opposite) else one
+    width = bitmap_bits(sets)
+    one = Tree([sets[i] for i in own], width)
+    other = Tree([sets[i] for i in opposite], width) if len(opposite) else one
     left, right = own[one.order], (opposite if len(opposite) else own)[other.order]
     parent = np.arange(len(ids))
 
@@ -324,6 +333,13 @@ def tile_links(ids: list[int], sets: list[np.ndarray], second: np.ndarray, perce
     return found
 
 
+def packed_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each text compressed: a third of the size of its set of hashes."""
+    for batch in batches:
+        packed = [zstandard.compress(data or b"") for data in batch.column(1).to_pylist()]
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(packed, pa.binary())], names=["doc_id", "packed"])
+
+
 def true_links(docs: DataFrame, blocks: DataFrame, words: int, percent: int) -> DataFrame:
     """(one, other): verified links that connect each block's linked documents."""
     # Linked sets share a class, so each class of a heavy block is a block of its own; one set alone needs no task.
@@ -336,33 +352,24 @@ def true_links(docs: DataFrame, blocks: DataFrame, words: int, percent: int) ->
     placed = classed.join(tiled, ["component", "tag"]).withColumn("tile", F.pmod(F.xxhash64("node"), "tiles"))
     places = placed.groupBy("node").agg(F.collect_set(F.struct("component", "tag", "tile", "tiles")).alias("places"))  # two, or one
     # The same plan at every size: texts are dealt by id, blocks are not broadcast.
-    sent = docs.hint("merge").join(places, docs["doc_id"] == places["node"]).select("doc_id", "text", "places")
-
-    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sets = [shingle_set(data or b"", words).tobytes() for data in batch.column("text").to_pylist()]
-            columns = [batch.column("doc_id"), batch.column("places"), pa.array(sets, pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "places", "elements"])
-
-    kind = "array<struct<component:bigint,tag:bigint,tile:bigint,tiles:bigint>>"
-    held = sent.mapInArrow(read, f"doc_id bigint, places {kind}, elements binary")
-    each = held.withColumn("place", F.explode("places")).select("doc_id", "elements", "place.*")
+    packed = docs.mapInArrow(packed_texts, "doc_id bigint, packed binary").hint("merge")
+    each = packed.join(places, packed["doc_id"] == places["node"]).select("doc_id", "packed", F.explode("places").alias("place")).select("doc_id", "packed", "place.*")
     # A set goes to each pair of tiles that its own is part of.
     mates = each.withColumn("mate", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("tiles") - 1)))
     low, high = F.least("tile", "mate").alias("low"), F.greatest("tile", "mate").alias("high")
     pair = F.xxhash64("component", "tag", low, high).alias("pair")
-    paired = mates.select(pair, "component", "tag", low, high, (F.col("tile") > F.col("mate")).alias("second"), "doc_id", "elements")
+    paired = mates.select(pair, "component", "tag", low, high, (F.col("tile") > F.col("mate")).alias("second"), "doc_id", "packed")
     dealt = paired.repartition("pair").sortWithinPartitions("pair", "component", "tag", "low", "high")
 
     def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, rows in runs(with_tile_pair(batches), "tile_pair"):
-            sets = [np.frombuffer(x.as_buffer(), np.uint64) for x in rows.column("elements")]  # views, no copies
             second = rows.column("second").to_numpy()
             if second.any() and second.all():
                 continue
             across = rows.column("low")[0].as_py() != rows.column("high")[0].as_py()
             if across and not second.any():
                 continue
+            sets = [shingle_set(zstandard.decompress(x.as_buffer()), words) for x in rows.column("packed")]
             found = tile_links(rows.column("doc_id").to_pylist(), sets, second, percent)
             if found:
                 one, other = zip(*found, strict=True)
