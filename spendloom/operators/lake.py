@@ -161,10 +161,8 @@ class BillingLake:
         """Write one load; (rows, schema), the rows counted while they are written."""
         if lines is None:
             return 0, None
-        # The period comes from the folder; other report columns keep their values.
-        kept = lines.drop("billing_period").withColumnsRenamed(
-            {"version_id": "report_version_id", "load_id": "report_load_id"}
-        )
+        # These names come from the folder; a report's own columns of those names are renamed.
+        kept = lines.withColumnsRenamed({name: f"report_{name}" for name in _LOAD_COLUMNS})
         rows = Observation()
         counted = kept.observe(rows, F.count(F.lit(1)).alias("n"))
         (
@@ -236,7 +234,12 @@ class BillingLake:
     def register_views(self) -> list[str]:
         """Temp views for SQL users: one per period and the unified one; their names."""
         loads = self._served_loads()
-        export = self.spark.range(1).select(table_name(F.lit(self.export_name))).first()[0]
+        names = self.all_events().select("export_name").distinct()
+        own = table_name(F.lit(self.export_name))
+        same = names.where((table_name(F.col("export_name")) == own) & (F.col("export_name") != self.export_name))
+        if (other := same.first()) is not None:
+            raise ValueError(f"exports {self.export_name} and {other[0]} have one view name")
+        export = self.spark.range(1).select(own).first()[0]
         views = {f"{export}_{load['billing_period'].replace('-', '_')}": [load] for load in loads}
         views[f"{export}{UNIFIED_SUFFIX}"] = loads
         for name, served in views.items():

@@ -119,10 +119,11 @@ def _unique(names: Iterable[str]) -> tuple[str, ...]:
 
 
 def csv_headers(spark: SparkSession, paths: list[str]) -> dict[str, tuple[str, ...]]:
-    """Column names of each CSV file, of which only the first line is read."""
+    """Column names of each CSV file: its first line that is not blank; none without such a line."""
 
     def header(path: str) -> tuple[str, ...]:
-        first = spark.read.text(path).first()
+        lines = spark.read.text(path).where(F.trim(F.translate("value", "\ufeff\t\r", "")) != "")
+        first = lines.first()
         return tuple(next(csv.reader([first[0].lstrip("\ufeff")]))) if first else ()
 
     with ThreadPoolExecutor(_HEADER_READERS) as pool:
@@ -174,7 +175,8 @@ def typed_columns(df: DataFrame, overrides: Mapping[str, str] | None = None) ->
     """Canonical names; known amounts and times typed, other scalar columns as text.
 
     A value that is not what its column should hold becomes NULL there and is kept
-    as text in the ``unreadable_values`` map, so none is lost.
+    as text in the ``unreadable_values`` map, so none is lost.  An amount with digits
+    past the tenth decimal is rounded there, and kept as text in that map as well.
     """
     names = canonical_columns(df.columns, overrides)
     columns, bad = [], []
@@ -188,6 +190,14 @@ def typed_columns(df: DataFrame, overrides: Mapping[str, str] | None = None) ->
             lost = raw.isNotNull() & value.isNull()
             if isinstance(field.dataType, T.StringType):
                 lost = lost & (raw != "")
+            if isinstance(wanted, T.DecimalType) and field.dataType != wanted:
+                exact = text.try_cast(T.DecimalType(38, 20))
+                finer = exact.isNotNull() & (exact != value)
+                if isinstance(field.dataType, T.StringType):
+                    # Below the twentieth decimal a digit is still seen in the text.
+                    tiny = (exact == 0) & text.rlike("^[^eE]*[1-9]")
+                    finer = finer | (value.isNotNull() & tiny) | text.rlike(r"^[^eE.]*\.\d{10}\d*[1-9]\d*\s*$")
+                lost = lost | F.coalesce(finer, F.lit(False))
             if field.dataType != wanted:
                 bad.append((lost, F.create_map(F.lit(name), text)))
         elif isinstance(field.dataType, (T.StructType, T.ArrayType, T.MapType)):

@@ -232,3 +232,40 @@ def test_union_by_name_widens(rows):
     c, d = rows("x long", (1,)), rows("x decimal(10,2)", (D("1.50"),))
     assert dict(R.union_by_name([c, d]).dtypes)["x"] == "decimal(22,2)"
     assert dict(R.union_by_name([rows("x int", (1,)), rows("x double", (1.5,))]).dtypes)["x"] == "double"
+
+
+def test_blank_first_lines_do_not_hide_a_file(feed):
+    put(f"{feed.folder}/s3", "bkt", "a.csv", "\nlineItem/UnblendedCost,product/sku\n1,x\n2,y\n")
+    put(f"{feed.folder}/s3", "bkt", "b.csv", "lineItem/UnblendedCost,product/sku\n3,z\n")
+    put(f"{feed.folder}/s3", "bkt", "c.csv", "\n\n")
+    feed.manifest("2024-01", "v1", ["a.csv", "b.csv", "c.csv"])
+    assert feed.run() == {"2024-01": 3}
+    assert feed.costs() == {"2024-01": [D(1), D(2), D(3)]}
+
+
+def test_digits_past_the_tenth_decimal_stay_visible(rows):
+    cost = "line_item_unblended_cost"
+    texts = ("0.00000000004", "1e-11", "1.5", "2.50000000000000", "1e-30", "12.00000000001", "0.0", "1e3", "0." + "0" * 25 + "3")
+    got = R.typed_columns(rows("`lineItem/UnblendedCost` string", *[(text,) for text in texts])).collect()
+    kept = [(r[R.UNREADABLE] or {}).get(cost) for r in got]
+    assert kept == [texts[0], texts[1], None, None, texts[4], texts[5], None, None, texts[8]]
+    assert [r[cost] for r in got][:4] == [D(0), D(0), D("1.5"), D("2.5")]
+
+
+def test_a_reports_own_period_column_is_kept(feed):
+    put(f"{feed.folder}/s3", "bkt", "a.csv", "billing_period,lineItem/UnblendedCost\nJanuary,1\n")
+    feed.manifest("2024-01", "v1", ["a.csv"])
+    feed.run()
+    row = feed.lake.unified_view().first()
+    assert (row["billing_period"], row["report_billing_period"]) == ("2024-01", "January")
+
+
+def test_exports_of_one_view_name_raise(spark, tmp_path):
+    one, two = Feed(spark, str(tmp_path), "prod-eu"), Feed(spark, str(tmp_path), "prod_eu")
+    one.manifest("2024-01", "v1", [one.csv("a.csv", [BASE])])
+    one.run()
+    assert one.lake.register_views() == ["prod_eu_2024_01", "prod_eu_unified"]
+    two.manifest("2024-01", "v1", [two.csv("b.csv", [BASE])])
+    two.run()
+    with pytest.raises(ValueError, match="one view name"):
+        two.lake.register_views()
