@@ -1,18 +1,19 @@
-"""Licence scans by MinHash bands over overlapping windows, in built-in functions only.
-
-A template (the text of a licence notice) and a text are word shingles.  A text is covered by
-windows of ``2 * STRIDE`` shingles that overlap by half, so a passage of up to ``STRIDE`` shingles lies
-whole in one window.  Each of ``BANDS`` bands is one MinHash value.  A short template inside a long
-window has a low Jaccard similarity to it; a template is therefore compared with the part of the
-window that is drawn from the shingles of all templates (the rest cannot add to any match), so a
-window that holds a template, or the share ``LEAST`` of it, has a similarity of ``LEAST`` or more to it
-unless other templates stand beside it in the window.  Each band then meets with a probability of
-that similarity, and one of all bands misses a passage with (1 - similarity) ** BANDS: below 1e-11
-for a similarity of 0.33, which leaves room for two more templates of the same length in the window.
-
-Windows retrieve templates by equal band values; a retrieved template is verified by exact
+"""Licence scans by bands over overlapping windows, in built-in functions only.
+
+A template (a licence notice or a whole licence text) and a text are word shingles.  Each template
+belongs to a class by its length: the stride of a class is ``STRIDE`` doubled until it holds the
+template, and a text is covered by windows of two strides that overlap by half, so a passage of up
+to a stride, the whole template among them, lies whole in one window.
+
+The bands of a template are its ``m - floor(least * m) + 1`` shingles of the smallest hashes, of
+``m`` distinct ones (a bottom-k MinHash sketch).  A window that holds the share ``least`` of the
+template lacks fewer shingles than it has bands, so at least one band meets, whatever else stands in
+the window: no passage is missed.
+
+Windows retrieve templates by equal bands; a retrieved template is verified once by exact
 containment: the share of its distinct shingles that the window holds.  The result is the best
-window of each text and template.
+window of each text and template; ``window`` is the place the window starts at, in steps of
+``STRIDE`` shingles for every class.
 
 Templates are a small table and are broadcast after their size is checked.  A text's shingles never
 leave its row: no shuffle but the small one that picks the best window.
@@ -25,14 +26,16 @@ text with the best window; further columns are ignored; empty tables give no row
 
 from __future__ import annotations
 
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 SHINGLE = 3
 STRIDE = 64
-BANDS = 64
 LEAST = 0.8
 MOST_TEMPLATE_SHINGLES = 200_000  # broadcast bound; more templates are to be scanned in several passes
+TEXTS = Path(__file__).parent / "licenses"  # whole licence texts, a file each
 # Notices as they are commonly written.
 NOTICES = {
     "apache-2.0": "Licensed under the Apache License, Version 2.0",
@@ -60,40 +63,57 @@ def with_shingles(rows: DataFrame, name: str, *keep: str) -> DataFrame:
     return computed(hashed, name, F.slice(every, F.lit(1), last), *keep)
 
 
-def band(number: int, value: Column) -> Column:
-    """A shingle's value under a band."""
-    return F.xxhash64(value, F.lit(number))
+def whole_texts() -> dict[str, str]:
+    """The whole licence texts by the names of their files."""
+    return {path.stem: path.read_text("utf-8") for path in sorted(TEXTS.glob("*.txt"))}
+
+
+def literal(values: list[int]) -> Column:
+    """Numbers as one array that is folded to a constant."""
+    return F.split(F.lit(",".join(map(str, values))), ",").cast("array<bigint>") if values else F.array().cast("array<bigint>")
 
 
-def bands(values: Column) -> Column:
-    """The MinHash value of each band, with its number, as one hash."""
+def windows_of(stride: int, known: list[int], fewest: int) -> Column:
+    """(stride, window, held) of each window of ``all``: the shingles of the class's templates it holds; none of a text too short to match."""
+    last = F.greatest(F.ceil(F.size("all") / stride).cast("int") - 2, F.lit(0))
+    numbers = F.when(F.size("all") >= fewest, F.sequence(F.lit(0), last)).otherwise(F.array().cast("array<int>"))
 
-    def least(number: int) -> Column:
-        return F.array_min(F.transform(values, lambda value: band(number, value)))  # a second argument would be the place
+    def held(number: Column) -> Column:
+        part = F.slice("all", number * stride + 1, F.lit(2 * stride))
+        return F.struct(F.lit(stride).alias("stride"), number.alias("window"), F.array_intersect(part, literal(known)).alias("held"))
 
-    return F.array(*[F.xxhash64(F.lit(number), least(number)) for number in range(BANDS)])
+    return F.filter(F.transform(numbers, held), lambda each: F.size(each["held"]) > 0)
 
 
 def scan(docs: DataFrame, templates: DataFrame, key: str = "doc_id", text: str = "text", name: str = "license", least: float = LEAST) -> DataFrame:
     """(key, license, containment, window): each text's best window for each template found in it; templates are (license, text)."""
-    own = with_shingles(templates.select(F.col(name).alias("license"), "text"), "wanted", "license")
-    own = own.withColumn("wanted", F.array_distinct("wanted")).where(F.size("wanted") > 0)
-    every = [row.s for row in own.select(F.explode("wanted").alias("s")).distinct().limit(MOST_TEMPLATE_SHINGLES + 1).collect()]
-    if len(every) > MOST_TEMPLATE_SHINGLES:
+    own = with_shingles(templates.select(F.col(name).alias("license"), "text"), "every", "license").where(F.size("every") > 0)
+    doublings = F.greatest(F.ceil(F.log2(F.size("every") / STRIDE)), F.lit(0))
+    own = own.select("license", (STRIDE * F.pow(F.lit(2), doublings)).cast("int").alias("stride"), F.array_distinct("every").alias("wanted"))
+    found = own.select("stride", F.explode("wanted").alias("s")).distinct().limit(MOST_TEMPLATE_SHINGLES + 1).collect()
+    if len(found) > MOST_TEMPLATE_SHINGLES:
         raise ValueError(f"the templates have more than {MOST_TEMPLATE_SHINGLES} shingles: scan them in several passes")
-    known = F.lit(every) if every else F.array().cast("array<bigint>")
+    enough = F.floor(F.size("wanted") * F.lit(float(least)))  # at most what a match must hold
+    fewest = {row.stride: row.n for row in own.groupBy("stride").agg(F.min(enough).alias("n")).collect()}
+    known = {stride: [row.s for row in found if row.stride == stride] for stride in sorted(fewest)}
     # Texts without any shingle of a template have no window to compare.
-    rows = with_shingles(docs.select(F.col(key).alias("key"), F.col(text).alias("text")), "all", "key").where(F.arrays_overlap("all", known))
-    count = F.ceil(F.size("all") / STRIDE).cast("int")
-    windows = rows.select("key", "all", F.explode(F.sequence(F.lit(0), F.greatest(count - 2, F.lit(0)))).alias("window"))
-    part = F.slice("all", F.col("window") * STRIDE + 1, F.lit(2 * STRIDE))
-    held = computed(windows, "held", F.array_intersect(part, known), "key", "window").where(F.size("held") > 0)
-    banded = held.select("key", "window", "held", F.explode(bands(F.col("held"))).alias("band"))
-    template_bands = own.select("license", "wanted", F.explode(bands(F.col("wanted"))).alias("band"))
-    met = banded.join(F.broadcast(template_bands), "band").select("key", "window", "held", "license", "wanted")
+    every = literal(sorted({row.s for row in found}))
+    rows = with_shingles(docs.select(F.col(key).alias("key"), F.col(text).alias("text")), "all", "key").where(F.arrays_overlap("all", every))
+    none = F.array().cast("array<struct<stride:int,window:int,held:array<bigint>>>")
+    windows = F.concat(none, *[windows_of(stride, shingles, fewest[stride]) for stride, shingles in known.items()])
+    held = rows.select("key", F.explode(windows).alias("w")).select("key", "w.stride", "w.window", "w.held")
+    banded = held.select("key", "stride", "window", "held", F.explode("held").alias("band"))
+    most = F.greatest(F.size("wanted") - enough + 1, F.lit(1)).cast("int")
+    sketched = own.withColumn("template", F.xxhash64("license", "wanted")).dropDuplicates(["template"])
+    sketched = sketched.select("template", "stride", "license", "wanted", F.slice(F.array_sort("wanted"), F.lit(1), most).alias("bands"))
+    template_bands = sketched.select("template", "stride", F.explode("bands").alias("band"))
+    met = banded.join(F.broadcast(template_bands), ["stride", "band"]).join(F.broadcast(sketched.drop("stride")), "template")
+    # Of the bands of a template that meet, the first one stands for all.
+    once = met.where(F.col("band") == F.get(F.array_intersect("bands", "held"), F.lit(0)))
     share = F.size(F.array_intersect("held", "wanted")) / F.size("wanted")
-    verified = met.select("key", "license", "window", share.alias("containment")).where(F.col("containment") >= least)
+    place = (F.col("window") * (F.col("stride") / STRIDE)).cast("bigint").alias("window")
+    verified = once.select("key", "license", place, share.alias("containment")).where(F.col("containment") >= least)
     best = verified.groupBy("key", "license").agg(
         F.max("containment").alias("containment"), F.min_by("window", F.struct(-F.col("containment"), "window")).alias("window")
     )
-    return best.select(F.col("key").alias(key), "license", "containment", F.col("window").cast("bigint").alias("window"))
+    return best.select(F.col("key").alias(key), "license", "containment", "window")

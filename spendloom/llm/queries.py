@@ -107,8 +107,9 @@ def op9_signature_trees(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def op10_license_bands(spark: SparkSession, folder: str) -> DataFrame:
-    """Licence notices in every text."""
-    templates = spark.createDataFrame(list(license_scan.NOTICES.items()), "license string, text string")
+    """Licence notices and whole licence texts in every text."""
+    known = license_scan.NOTICES | license_scan.whole_texts()
+    templates = spark.createDataFrame(list(known.items()), "license string, text string")
     return license_scan.scan(table(spark, folder, "documents", "doc_id", "text"), templates)
 
 

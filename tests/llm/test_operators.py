@@ -456,6 +456,37 @@ def test_license_scan_against_exact_windows(spark, hard, nothing):
     assert license_scan.scan(df, templates.where("false")).count() == 0
 
 
+def test_whole_licence_texts_are_found_at_any_place(spark):
+    whole = license_scan.whole_texts() | {"long": " ".join(f"t{i}" for i in range(500)), "spent": " ".join(f"u{i}" for i in range(122))}
+    sizes = {name: len(re.findall(r"[^\W_]+", text)) for name, text in whole.items()}
+    assert sizes["mit-text"] > 160 and sizes["gpl-3.0-text"] > 5000
+    names = list(whole)
+    before = [0, 1, 31, 63, 64, 100, 150, 700]
+    rows = [(i * 100 + at, " ".join([*(f"w{j}" for j in range(n)), whole[name], "after it"])) for i, name in enumerate(names) for at, n in enumerate(before)]
+    templates = spark.createDataFrame(list(whole.items()), "license string, text string")
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = {(r.doc_id, r.license): r.containment for r in license_scan.scan(docs, templates).collect()}
+    for key, _ in rows:
+        assert got[key, names[key // 100]] == 1
+    assert {names[key // 100] for key, name in got if name == "long"} == {"long"}
+
+
+def test_all_notices_beside_each_other_are_found(spark):
+    rng = random.Random(9)
+    rows = []
+    for i in range(300):
+        notices = list(license_scan.NOTICES.values())
+        rng.shuffle(notices)
+        rows.append((i, " ".join([*(f"w{rng.randrange(99)}" for _ in range(rng.randrange(30))), *notices])))
+    # Thirty templates of three shingles, side by side in one window.
+    lines = {f"line{i}": " ".join(f"n{i}x{j}" for j in range(5)) for i in range(30)}
+    rows.append((300, " ".join(lines.values())))
+    templates = spark.createDataFrame(list((license_scan.NOTICES | lines).items()), "license string, text string")
+    found = license_scan.scan(spark.createDataFrame(rows, "doc_id bigint, text string"), templates).where("containment = 1")
+    got = {(r.doc_id, r.license) for r in found.collect()}
+    assert got == {(i, name) for i in range(300) for name in license_scan.NOTICES} | {(300, name) for name in lines}
+
+
 # Token rollups
 
 
