@@ -4,6 +4,11 @@
 written once.  The ``completed`` event is the commit: a period is served from the
 load of its last such event, so a replacement is atomic, a failed load stays
 invisible and an empty new version empties its period.  One writer per export.
+
+The log is a folder per append below ``<root>/state/events`` and, after compactions, numbered
+generations: each holds the events of the appends its marker below ``<root>/state/complete`` names.
+The marker is written last.  Readers take the newest complete generation and the appends it does
+not name, so an append made during or after a compaction, by any writer, is never lost.
 """
 
 from __future__ import annotations
@@ -15,7 +20,6 @@ import uuid
 from collections.abc import Callable, Iterable
 from urllib.parse import quote
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -33,6 +37,7 @@ from spendloom.operators.state import (
 from spendloom.sources.reports import union_by_name
 
 ROWS_PER_FILE = 5_000_000
+MARKER = "path string, batches array<string>"
 _LOAD_COLUMNS = ("billing_period", "version_id", "load_id")
 
 
@@ -44,6 +49,8 @@ class BillingLake:
         self.vendor = vendor
         self.export_name = export_name
         self.events_path = f"{root}/state/events"
+        self._generations = f"{root}/state/generations"
+        self._markers = f"{root}/state/complete"
         self._place = f"vendor={quote(vendor, safe='')}/export_name={quote(export_name, safe='')}"
         self.data_path = f"{root}/data/{self._place}"
         self._event_schema = T.StructType.fromDDL(EVENT_FIELDS)
@@ -51,15 +58,42 @@ class BillingLake:
         self._seq: int | None = None
 
     # ---- state -----------------------------------------------------------------
+    def _listed(self, pattern: str) -> list[str]:
+        """Paths of the folders that match, in order."""
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(pattern)
+        found = path.getFileSystem(self.spark._jsc.hadoopConfiguration()).globStatus(path)
+        return sorted(status.getPath().toString() for status in found or [])
+
+    def _generation(self) -> tuple[int, str | None, list[str]]:
+        """(number, folder, names of the appends it holds) of the newest complete generation."""
+        done = self._listed(f"{self._markers}/generation=*/part-*")
+        if not done:
+            return 0, None, []
+        marker = done[-1].rsplit("/", 1)[0]
+        row = self.spark.read.schema(MARKER).parquet(marker).first()
+        return int(marker.rsplit("=", 1)[1]), row["path"], list(row["batches"])
+
+    def _log(self) -> tuple[DataFrame, int, list[str]]:
+        """(events of every export below the root, newest generation, names of the appends read)."""
+        # Appends are listed first: one of them may be in the generation as well, none in neither.
+        # An append is one file, so it is there as a whole or not at all.
+        files = self._listed(f"{self.events_path}/vendor=*/export_name=*/batch=*/part-*")
+        number, path, held = self._generation()
+        known = set(held)
+        names = {folder: folder.rsplit("batch=", 1)[1] for folder in sorted({file.rsplit("/", 1)[0] for file in files})}
+        fresh = [folder for folder, name in names.items() if name not in known]
+        reader = self.spark.read.schema(self._event_schema)
+        parts = [reader.parquet(path)] if path else []
+        if fresh:
+            parts.append(reader.option("basePath", self.events_path).parquet(*fresh))
+        rows = [part.select(*self._event_schema.names) for part in parts]
+        rows = rows or [self.spark.createDataFrame([], self._event_schema)]
+        log = rows[0] if len(rows) == 1 else rows[0].unionByName(rows[1])
+        return log, number, sorted(known | set(names.values()))
+
     def all_events(self) -> DataFrame:
         """Events of every export below the root."""
-        try:
-            stored = self.spark.read.schema(self._event_schema).parquet(self.events_path)
-            return stored.select(*self._event_schema.names)
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
-            return self.spark.createDataFrame([], self._event_schema)
+        return self._log()[0]
 
     def events(self) -> DataFrame:
         return self.all_events().where(
@@ -143,12 +177,20 @@ class BillingLake:
             ]
         )
 
-    def compact_events(self, new_path: str) -> None:
-        """Rewrite the many small event files into a new folder and use it from now on."""
+    def compact_events(self, new_path: str | None = None) -> None:
+        """Rewrite the many small event files as a new generation of the log, for all readers.
+
+        ``new_path`` may name its folder.
+        """
+        log, number, batches = self._log()
+        if not batches:
+            return
+        place = new_path or f"{self._generations}/{uuid.uuid4().hex}"
         places = ["vendor", "export_name", "batch"]
-        rewritten = self.all_events().withColumn("batch", F.lit("compacted"))
-        rewritten.repartition(*places[:2]).write.partitionBy(*places).parquet(new_path)
-        self.events_path = new_path
+        rewritten = log.withColumn("batch", F.lit("compacted"))
+        rewritten.repartition(*places[:2]).write.partitionBy(*places).parquet(place)
+        marker = self.spark.createDataFrame([(place, batches)], MARKER).coalesce(1)
+        marker.write.mode("errorifexists").parquet(f"{self._markers}/generation={number + 1:09d}")
 
     # ---- data ------------------------------------------------------------------
     def load_path(self, period: str, version_id: str, load_id: str) -> str:

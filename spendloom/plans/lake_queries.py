@@ -473,6 +473,29 @@ def period_replacement(spark, folder):
     )
 
 
+@query(
+    "compacted_state",
+    """SELECT CASE l_returnflag WHEN 'A' THEN '2024-01' ELSE '2024-02' END AS billing_period,
+       CASE l_returnflag WHEN 'A' THEN 'v2' ELSE 'v1' END AS version_id, COUNT(*) AS n, 6 AS events
+FROM lineitem WHERE l_returnflag <> 'N' GROUP BY 1, 2""",
+)
+def compacted_state(spark, folder):
+    """Two periods are loaded, the log is compacted, one is restated after it; a fresh lake reads them."""
+    lines = table(spark, folder, "lineitem").select("l_returnflag")
+    root = scratch_folder(spark)
+    lake = BillingLake(spark, root, "aws", "compacted")
+    lake.replace_period(lambda: lines.where("l_returnflag = 'N'"), "2024-01", "v1", "f1", 1)
+    lake.replace_period(lambda: lines.where("l_returnflag = 'R'"), "2024-02", "v1", "f1", 1)
+    lake.compact_events()
+    load = lake.start_load("2024-01", "v2", "f1", 1)
+    rows, schema = lake.write_load(lines.where("l_returnflag = 'A'"), "2024-01", "v2", load)
+    BillingLake(spark, root, "aws", "compacted").compact_events()  # while the load is open
+    lake.complete_load("2024-01", "v2", load, rows, schema)
+    fresh = BillingLake(spark, root, "aws", "compacted")
+    served = fresh.unified_view().groupBy("billing_period", "version_id").agg(F.count(F.lit(1)).alias("n"))
+    return served.withColumn("events", F.lit(fresh.events().count()).cast("int"))
+
+
 @query(
     "unreadable_values",
     """SELECT l_returnflag, COUNT(*) AS n, COUNT(CASE WHEN l_linenumber < 7 THEN 1 END) AS readable,

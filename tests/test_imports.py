@@ -223,6 +223,29 @@ def test_compacted_events_say_the_same(feed):
     assert feed.run() == {}
 
 
+def test_loads_after_a_compaction_are_seen_by_new_readers(feed, spark):
+    feed.manifest("2024-01", "v1", [feed.csv("a.csv", [BASE])])
+    feed.run()
+    old = feed.lake
+
+    def anew():
+        return type(old)(spark, f"file://{feed.folder}/lake", old.vendor, old.export_name)
+
+    other = type(old)(spark, f"file://{feed.folder}/lake", old.vendor, "other")
+    old.compact_events(f"file://{feed.folder}/lake/state/events_2")
+    feed.manifest("2024-01", "v2", [feed.csv("b.csv", [BASE, BASE, BASE])])
+    assert feed.run() == {"2024-01": 3}
+    # An export whose object was made before the compaction loads after it.
+    other.replace_period(lambda: spark.range(5).withColumnRenamed("id", "n"), "2024-01", "o1", "f", 1)
+    for _ in range(2):
+        assert anew().unified_view().count() == 3 and [r["version_id"] for r in anew().current_loads().collect()] == ["v2"]
+        assert anew().all_events().count() == 6 and other.unified_view().count() == 5
+        anew().compact_events()
+    # A compaction cut off before its marker changes nothing.
+    spark.createDataFrame([], "x int").write.parquet(f"file://{feed.folder}/lake/state/generations/cut")
+    assert anew().all_events().count() == 6
+
+
 def test_union_by_name_widens(rows):
     a, b = rows("x int, y int", (1, 2)), rows("X string, z double", ("s", 1.5))
     got = R.union_by_name([a, b])
