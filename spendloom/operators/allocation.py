@@ -109,8 +109,14 @@ def normalised_tags(tags: Column) -> Column:
 
 
 # ---- currencies ------------------------------------------------------------------
-def in_currency(lines: DataFrame, rates: DataFrame, cost: str, to: str = "USD") -> DataFrame:
-    """Add ``converted_cost`` by (currency, billing_period) rates; NULL without a rate."""
+def in_currency(
+    lines: DataFrame, rates: DataFrame, cost: str, to: str = "USD", scale: int | None = 6
+) -> DataFrame:
+    """Add ``converted_cost`` by (currency, billing_period) rates; NULL without a rate.
+
+    The whole cost is multiplied; the result of each line is rounded to ``scale`` decimals.  Totals
+    are to be built with ``scale=None``, which keeps eleven decimals, more than any loaded cost has.
+    """
     unique = rates.groupBy(
         F.col("currency").alias("_currency"), F.col("billing_period").alias("_period")
     ).agg(F.max("rate").alias("_rate"))
@@ -118,10 +124,12 @@ def in_currency(lines: DataFrame, rates: DataFrame, cost: str, to: str = "USD")
     rate = F.when(F.col("currency") == to, F.lit(1).cast("decimal(18,8)")).otherwise(
         F.col("_rate").cast("decimal(18,8)")
     )
-    value = F.col(cost).cast("decimal(20,6)") * rate
+    # Two digits less than an amount: the product then keeps eleven decimals.
+    value = amount_of(lines, cost).cast("decimal(26,10)") * rate
+    result = value if scale is None else F.round(value, scale).cast(f"decimal(28,{scale})")
     return (
         lines.join(unique, on, "left")
-        .withColumn("converted_cost", F.round(value, 6).cast("decimal(28,6)"))
+        .withColumn("converted_cost", result)
         .drop("_currency", "_period", "_rate")
     )
 

@@ -428,7 +428,7 @@ def currency_standardised(spark, folder):
         (F.lit(1) + F.col("l_tax").cast("decimal(4,2)")).alias("rate"),
     )
     return (
-        N.in_currency(lines, rates, "cost")
+        N.in_currency(lines, rates, "cost", scale=None)
         .groupBy("billing_period", "currency")
         .agg(
             F.count(F.lit(1)).alias("n"),

@@ -143,6 +143,18 @@ def test_tags(rows):
     assert [r[0] for r in df.select(tags).collect()] == [{"team": "t", "env": "a", "x": "1"}, {}]
 
 
+def test_tiny_lines_are_not_lost_in_conversion(rows):
+    lines = rows("billing_period string, currency string, cost decimal(28,10)", *[("p1", "EUR", D("0.0000004"))] * 1000, ("p1", "EUR", D("0.0000000001")))
+    rates = rows("currency string, billing_period string, rate decimal(8,4)", ("EUR", "p1", D("1.5")))
+    exact = N.in_currency(lines, rates, "cost", scale=None)
+    assert exact.agg(F.sum("converted_cost")).first()[0] == D("0.00060000015")
+    text = lines.withColumn("cost", F.col("cost").cast("string"))
+    assert N.in_currency(text, rates, "cost", scale=None).agg(F.sum("converted_cost")).first()[0] == D("0.00060000015")
+    # A line rounded on its own is rounded after the rate.
+    one = rows("billing_period string, currency string, cost decimal(28,10)", ("p1", "EUR", D("0.0000004")))
+    assert N.in_currency(one, rates, "cost").first()["converted_cost"] == D("0.000001")
+
+
 def test_currency_reconciliation_budget(rows):
     lines = rows("billing_period string, currency string, cost decimal(12,2)", ("p1", "USD", D(1)), ("p1", "EUR", D(2)), ("p2", "EUR", D(3)))
     rates = rows("currency string, billing_period string, rate decimal(8,4)", ("EUR", "p1", D("1.1")), ("EUR", "p1", D("1.1")))
