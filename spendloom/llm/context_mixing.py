@@ -2,23 +2,29 @@
 
 The model predicts the bits of a token sequence: the bytes of each word, then a separator; a
 separator at the start of a word ends the document, so the probabilities of all sequences add up to
-one at most.  ``CONTEXTS`` bit predictors look up counts of zeros and ones under hashed contexts
-(the last 2, 3, 4 and 6 bytes of the word, and all its bytes so far).  Their stretched
-probabilities are combined with weights that a gate picks (place in the word, how many contexts are
-known, bit), learnt online, and an adaptive probability map refines the result.
+one at most.  ``CONTEXTS`` bit predictors look up exact counts of zeros and ones by (context, bits of
+the byte so far); contexts are the last 1, 2, 3, 4 and 6 bytes of the word, and all its bytes so far.
+Their stretched probabilities are combined with weights that a gate picks (place in the word, how
+many contexts are known, bit), learnt online, and an adaptive probability map refines the result.
 
-Contexts begin with the word, so a distinct word has one probability wherever it stands.  The work
-is therefore done once for each distinct word of the corpus:
+These contexts begin with the word, so their part is done once for each distinct word of the corpus:
 
 1. texts are read once and rewritten as word codes in blocks of ``BLOCK_BYTES``, each with a word
    list of its own and the words' counts in training documents;
 2. the lists are summed to the corpus word table (base counts; it grows with the corpus);
-3. each task over that table counts its words' bits into hashed tables, which are summed in
-   slices; the finished tables have a fixed size and are mapped into memory by the workers;
+3. the table is dealt to portions; each sends its (context, next byte) pairs with their counts to
+   slices by key, whose number follows the size of the table; a slice sums equal pairs and answers
+   every portion with the exact counts on its bytes' paths.  Nothing has a fixed size: contexts are
+   told apart by 56 bits of a hash;
 4. each task learns mixing weights online over its words, every word seen without one of its own
-   occurrences, and counts the refining map; weights are averaged and counts added over tasks;
+   occurrences; weights are averaged over tasks, and a second pass counts the refining map under the
+   averaged weights;
 5. the word table is scored, joined back to the blocks' lists, and documents are added up.
 
+The previous word is a context as well: a word's probability is
+(times it followed + ``PRIOR`` x the above) / (times the previous word was seen + ``PRIOR``); pairs of
+words are counted exactly, by 64 bits of a hash, in slices that answer the blocks.
+
 A text also adapts the model: training documents fall into ``GROUPS`` groups by their most frequent
 word, a word is likelier in some groups than in others, and the groups' weights follow the words
 read so far (a Bayesian mixture, whose product over a text is a sum over groups).
@@ -35,26 +41,27 @@ from __future__ import annotations
 from array import array
 from collections import defaultdict
 from collections.abc import Iterator
-from functools import lru_cache
+from hashlib import blake2b
 from itertools import count
 from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark import SparkFiles, TaskContext
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import runs, shared_file, small_batches, written
+from .common import runs, small_batches, written
 
 BLOCK_BYTES = 16_000_000
-ORDERS = (2, 3, 4, 6)  # and the whole word so far
+ORDERS = (1, 2, 3, 4, 6)  # and the whole word so far
 CONTEXTS = len(ORDERS) + 1
-TABLE_BITS = (18, 19, 20, 20, 21)  # slots of each predictor's hashed table
-EDGES = np.concatenate([[0], np.cumsum([2 << bits for bits in TABLE_BITS])])  # zeros and ones of a predictor side by side
-SLICES = 64  # the tables' length is a multiple of this
-WORDS_AT_ONCE = 1024
+PORTION_BYTES = 100_000  # bytes of words that meet their counts at once
+SLICE_KEYS = 4_000_000  # (context, next byte) pairs in a slice, at most about
+PAIR_SLICES = 512  # slices of the pairs of words
+PRIOR = 10.0  # words that the model without the previous word counts for besides the words that followed it
+TOKENS_AT_ONCE = 100_000
 RATE = 0.05
 MAP_STEPS = 33  # places of the refining map between -8 and 8
 SEPARATOR = 0x20
@@ -68,7 +75,8 @@ MIX = np.uint64(0x9E3779B97F4A7C15)
 UNMIX = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 LOG_COUNT = np.log(np.arange(65536) + 0.03).astype(np.float32)
 TRUST = np.minimum(np.log2(np.maximum(np.arange(1 << TRUSTED), 1)).astype(np.int64), TRUSTED - 1)
-Portions = Iterator[tuple[list[bytes], np.ndarray]]  # words and their counts
+Portions = Iterator[tuple]  # words, their counts and, if they were asked for already, the totals on their paths
+Tables = tuple[np.ndarray, np.ndarray]  # sorted keys of (context, next byte) and their counts
 
 
 def squash(x: np.ndarray) -> np.ndarray:
@@ -103,38 +111,65 @@ class Positions:
         hashes.append(whole ^ (whole >> np.uint64(31)))
         self.hashes = [h * np.uint64(2 * i + 3) + np.uint64(i) for i, h in enumerate(hashes)]
 
-    def bits(self) -> Iterator[tuple[int, np.ndarray, list[np.ndarray]]]:
-        """(index, bit, slot under each context) for each of the eight bits."""
-        node = np.ones(len(self.bytes), np.int64)
+    def keys(self) -> np.ndarray:
+        """(context, next byte) as a number: context after context, every position."""
+        mixed = [(h ^ (h >> np.uint64(32))) * MIX for h in self.hashes]
+        return np.concatenate([(h & ~np.uint64(255)) | self.bytes.astype(np.uint64) for h in mixed])
+
+    def bits(self) -> Iterator[tuple[int, np.ndarray]]:
+        """(index, bit) for each of the eight bits."""
         for index in range(8):
-            bit = self.bytes >> (7 - index) & 1
-            salt = node.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)
-            slots = [
-                EDGES[k] + (((h + salt) * MIX) >> np.uint64(64 - TABLE_BITS[k])).astype(np.int64) * 2
-                for k, h in enumerate(self.hashes)
-            ]
-            yield index, bit, slots
-            node = node * 2 + bit
+            yield index, self.bytes >> (7 - index) & 1
+
+
+def summed(keys: list[np.ndarray], counts: list[np.ndarray]) -> Tables:
+    """Equal keys once, in order, with the sum of their counts."""
+    unique, place = np.unique(np.concatenate([np.zeros(0, np.uint64), *keys]), return_inverse=True)
+    return unique, np.bincount(place, np.concatenate([np.zeros(0), *counts]), len(unique)).astype(np.int64)
+
+
+def path_totals(tables: Tables, asked: np.ndarray) -> np.ndarray:
+    """(9, asked): how often each context was seen with the first 0 to 8 bits of the byte."""
+    keys, counts = tables
+    before = np.concatenate([[0], np.cumsum(counts)])
+    totals = np.empty((9, len(asked)), np.int64)
+    for depth in range(9):
+        open_bits = np.uint64((1 << (8 - depth)) - 1)
+        first, last = asked & ~open_bits, asked | open_bits
+        totals[depth] = before[np.searchsorted(keys, last, "right")] - before[np.searchsorted(keys, first, "left")]
+    return totals
+
+
+def log_count(n: np.ndarray) -> np.ndarray:
+    found = LOG_COUNT[np.minimum(n, len(LOG_COUNT) - 1)]
+    large = n >= len(LOG_COUNT)
+    if large.any():
+        found[large] = np.log(n[large] + 0.03)
+    return found
 
 
 class Model:
-    """Count tables (zeros and ones by slot), mixing weights (gates, contexts + 1) and the refining map."""
+    """Exact counts, mixing weights (gates, contexts + 1) and the refining map."""
+
+    def __init__(self, tables: Tables | None, weights: np.ndarray | None = None, refined: np.ndarray | None = None):
+        self.tables, self.weights, self.refined = tables, weights, refined
 
-    def __init__(self, tables: np.ndarray, weights: np.ndarray | None = None, refined: np.ndarray | None = None):
-        self.pairs, self.weights, self.refined = tables.view(np.uint32), weights, refined
+    def totals(self, at: Positions, told: np.ndarray | None) -> np.ndarray:
+        """(contexts, 9, positions): the totals on each byte's path; ``told`` holds them by key in order."""
+        unique, place = np.unique(at.keys(), return_inverse=True)
+        found = path_totals(self.tables, unique) if told is None else told
+        return found[:, place].reshape(9, CONTEXTS, -1).transpose(1, 0, 2)
 
-    def inputs(self, at: Positions, index: int, bit: np.ndarray, slots: list[np.ndarray], without: bool):
+    def inputs(self, at: Positions, index: int, bit: np.ndarray, totals: np.ndarray, without: bool):
         """(stretched predictions and a bias, gate) of a bit; ``without`` takes one off the count of the bit itself."""
         x = np.empty((len(bit), CONTEXTS + 1), np.float32)
         level = np.zeros(len(bit), np.int64)
-        for k, slot in enumerate(slots):
-            pair = self.pairs[slot >> 1]
-            zeros, ones = (pair & np.uint32(0xFFFF)).astype(np.int32), (pair >> np.uint32(16)).astype(np.int32)
+        for k, path in enumerate(totals):
+            own, other = path[index + 1], path[index] - path[index + 1]
             if without:
-                zeros -= (zeros > 0) & (bit == 0)
-                ones -= (ones > 0) & (bit == 1)
-            seen = zeros + ones
-            x[:, k] = LOG_COUNT[ones] - LOG_COUNT[zeros]
+                own = own - (own > 0)
+            seen = own + other
+            x[:, k] = (log_count(own) - log_count(other)) * (2 * bit - 1)
             if k < CONTEXTS - 1:
                 level[seen > 0] = k
             else:
@@ -153,12 +188,12 @@ class Model:
         low = scaled.astype(np.int64)
         return gate * MAP_STEPS + low, scaled - low
 
-    def log10(self, words: list[bytes]) -> np.ndarray:
+    def log10(self, words: list[bytes], told: np.ndarray | None = None) -> np.ndarray:
         """log10 probability of each word with its separator."""
         at = Positions(words)
-        total = np.zeros(len(at.bytes))
-        for index, bit, slots in at.bits():
-            x, gate = self.inputs(at, index, bit, slots, False)
+        total, totals = np.zeros(len(at.bytes)), self.totals(at, told)
+        for index, bit in at.bits():
+            x, gate = self.inputs(at, index, bit, totals, False)
             linear = self.mixed(x, gate)
             low, upper = self.map_places(gate, linear)
             refined = self.refined[low] * (1 - upper) + self.refined[low + 1] * upper
@@ -167,12 +202,34 @@ class Model:
         return np.add.reduceat(total, at.starts)
 
 
-def word_batches(batches: Iterator[pa.RecordBatch]) -> Portions:
-    """(words, counts) in portions, from batches of (word, n)."""
-    for batch in batches:
-        words, counts = batch.column("word").to_pylist(), batch.column("n").to_numpy()
-        for i in range(0, len(words), WORDS_AT_ONCE):
-            yield words[i : i + WORDS_AT_ONCE], counts[i : i + WORDS_AT_ONCE]
+def word_hashes(words: list[bytes]) -> np.ndarray:
+    return np.frombuffer(b"".join(blake2b(word, digest_size=8).digest() for word in words), np.uint64)
+
+
+def pair_keys(hashes: np.ndarray, documents: list[np.ndarray]) -> np.ndarray:
+    """A number for each word of the documents and its end with the word before it (the end before the first)."""
+    every = np.concatenate([np.append(codes, np.uint32(0)) for codes in documents])
+    lengths = np.array([len(codes) + 1 for codes in documents])
+    before = np.concatenate([[np.uint32(0)], every[:-1]])
+    before[np.cumsum(lengths)[:-1]] = 0
+    mixed = (hashes[before] * MIX + np.uint64(1)) ^ (hashes[before] >> np.uint64(31))
+    mixed = (mixed + hashes[every]) * MIX
+    return (mixed ^ (mixed >> np.uint64(29))) * MIX
+
+
+def slice_edges(keys: np.ndarray, slices: int) -> tuple[np.ndarray, np.ndarray]:
+    """(slices that have keys, edges of their runs) of sorted keys; a slice is a range of keys."""
+    number = ((keys >> np.uint64(48)) * np.uint64(slices)) >> np.uint64(16)
+    own, first = np.unique(number, return_index=True)
+    return own.astype(np.int64), np.append(first, len(keys))
+
+
+def packed(values: np.ndarray) -> bytes:
+    return zstandard.compress(np.ascontiguousarray(values, np.int64).tobytes(), 1)
+
+
+def unpacked(data: bytes) -> np.ndarray:
+    return np.frombuffer(zstandard.decompress(data), np.int64)
 
 
 def group_of(codes: np.ndarray, words: list[bytes]) -> int:
@@ -200,12 +257,21 @@ def tokenised(docs: DataFrame, trains: Column, key: str, text: str) -> DataFrame
             members: list[list[np.ndarray]] = [[] for _ in range(GROUPS)]
             for own in (np.frombuffer(c, np.uint32) for c, t in zip(codes, learns, strict=True) if t):
                 members[group_of(own, words)].append(np.append(own, np.uint32(0)))
+            documents = [np.frombuffer(c, np.uint32) for c in codes]
+            pairs_of, place = np.unique(pair_keys(word_hashes(words), documents), return_inverse=True)
+            times_of = np.bincount(place, np.repeat(np.array(learns, np.float64), [len(c) + 1 for c in documents]), len(pairs_of))
+            own, edge = slice_edges(pairs_of, PAIR_SLICES)
             times = np.array([np.bincount(np.concatenate(x) if x else np.zeros(0, np.int64), minlength=size) for x in members])
             word_at, group = np.nonzero(times.T)
             starts = np.concatenate([[0], np.cumsum(np.bincount(word_at, minlength=size))]).astype(np.int32)
             pairs = pa.StructArray.from_arrays([pa.array(group, pa.int32()), pa.array(times[group, word_at], pa.int64())], names=["g", "n"])
             counts = pa.ListArray.from_arrays(pa.array(starts), pairs)
             yield batch_of(0, size, word=pa.array(words, pa.binary()), code=pa.array(range(size), pa.int32()), counts=counts)
+            cuts = list(zip(edge[:-1], edge[1:], strict=True))
+            yield batch_of(
+                2, len(own), code=pa.array(own, pa.int32()),
+                codes=pa.array([pairs_of[a:b].tobytes() for a, b in cuts], pa.binary()), word=pa.array([packed(times_of[a:b]) for a, b in cuts], pa.binary()),
+            )
             yield batch_of(1, len(keys), key=pa.array(keys, kind), codes=pa.array([zstandard.compress(c.tobytes(), 1) for c in codes], pa.binary()))
 
         def batch_of(which: int, size: int, **columns: pa.Array) -> pa.RecordBatch:
@@ -236,37 +302,36 @@ def tokenised(docs: DataFrame, trains: Column, key: str, text: str) -> DataFrame
     return written(rows.mapInArrow(run, schema), "kind")
 
 
-def tally_bits(portions: Portions) -> np.ndarray | None:
-    """Counts of zeros and ones by slot of some words; None without words."""
-    tables = None
-    for words, counts in portions:
-        if tables is None:
-            tables = np.zeros(EDGES[-1], np.float32)
+def tally_bits(portions: Portions) -> Tables:
+    """Counts by (context, next byte) of some words."""
+    keys, counts = [], []
+    for words, times in portions:
         at = Positions(words)
-        weight = counts[at.word].astype(np.float32)
-        for _, bit, slots in at.bits():
-            for slot in slots:
-                np.add.at(tables, slot + bit, weight)
-    return tables
+        keys.append(at.keys())
+        counts.append(np.tile(times[at.word].astype(np.float64), CONTEXTS))
+    return summed(keys, counts)
 
 
-def learn_online(portions: Portions, model: Model) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def learn_online(portions: Portions, model: Model, learns: bool = True) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Change a model's weights online; returns the tokens each gate has seen, and (ones, all bits) by place of the map.
 
-    The map is counted on predictions before they are learnt from.
+    The map is counted on predictions before they are learnt from; without ``learns`` the weights stay.
     """
     squares = np.full((GATES, CONTEXTS + 1), 1e-6)
     seen_all, ones, mass = np.zeros(GATES), np.zeros(GATES * MAP_STEPS), np.zeros(GATES * MAP_STEPS)
-    for words, counts in portions:
+    for words, counts, *told in portions:
         at = Positions(words)
         weight = counts[at.word].astype(np.float64)
-        for index, bit, slots in at.bits():
-            x, gate = model.inputs(at, index, bit, slots, True)
+        totals = model.totals(at, told[0] if told else None)
+        for index, bit in at.bits():
+            x, gate = model.inputs(at, index, bit, totals, True)
             linear = model.mixed(x, gate)
             low, upper = model.map_places(gate, linear)
             for place, share in ((low, weight * (1 - upper)), (low + 1, weight * upper)):
                 mass += np.bincount(place, share, len(mass))
                 ones += np.bincount(place, share * bit, len(mass))
+            if not learns:
+                continue
             error = weight * (bit - squash(linear))
             seen = np.bincount(gate, weight, GATES)
             seen_all += seen
@@ -288,50 +353,92 @@ def map_from(ones: np.ndarray, mass: np.ndarray) -> np.ndarray:
     return (ones + 20 * middle) / (mass + 20)
 
 
-def sixteen_bits(tables: np.ndarray) -> np.ndarray:
-    """Counts of one slot keep their ratio in sixteen bits, and none that was seen becomes zero."""
-    pairs = tables.reshape(-1, 2)
-    largest = np.maximum(pairs.max(1, keepdims=True), 65535)
-    return np.ceil(pairs * (np.float32(65535) / largest)).astype(np.uint16).ravel()
+def sixteen_bits(tables: Tables) -> Tables:
+    """The counts as the model takes them: exact; they were cut to sixteen bits once."""
+    return tables
+
+
+def evidence(words: DataFrame, shares: np.ndarray) -> DataFrame:
+    """Portions of the word table (words, n, lift, told) with the totals on their bytes' paths over the whole table."""
+    size = words.agg(F.sum(F.octet_length("word") + 1)).first()[0] or 0
+    slices = min(65536, -(-size * CONTEXTS // SLICE_KEYS) or 1)
+    plain = "holder bigint, slice int, keys binary, counts binary, words array<binary>, n array<bigint>, lift binary"
+    kinds = [pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.list_(pa.binary()), pa.list_(pa.int64()), pa.binary()]
+    names = ["holder", "slice", "keys", "counts", "words", "n", "lift"]
 
+    def rows_of(*columns: list) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names)
 
-def context_tables(words: DataFrame) -> bytes:
-    """Counts of zeros and ones by slot, summed over the word table in slices of fixed size."""
-    width = int(EDGES[-1]) // SLICES
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        holder = TaskContext.get().partitionId() << 33
+        held, times, lifts, length = [], [], [], 0
 
-    def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tables = tally_bits(word_batches(batches))
-        for number in range(SLICES if tables is not None else 0):
-            part = zstandard.compress(tables[number * width : (number + 1) * width].tobytes(), 1)
-            yield pa.RecordBatch.from_arrays([pa.array([number], pa.int32()), pa.array([part], pa.binary())], names=["slice", "counts"])
+        def told() -> Iterator[pa.RecordBatch]:
+            keys, counts = tally_bits_of(held, np.array(times))
+            own, edge = slice_edges(keys, slices)
+            cuts = list(zip(edge[:-1], edge[1:], strict=True))
+            none = [None] * len(own)
+            yield rows_of([holder], [-1], [None], [None], [held], [times], [b"".join(lifts)])
+            yield rows_of([holder] * len(own), list(own), [keys[a:b].tobytes() for a, b in cuts], [packed(counts[a:b]) for a, b in cuts], none, none, none)
 
-    def total(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums: dict[int, np.ndarray] = {}
         for batch in batches:
-            for number, part in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                sums[number] = sums.get(number, np.float32(0)) + np.frombuffer(zstandard.decompress(part), np.float32)
-        for number, part in sums.items():
-            packed = zstandard.compress(part.tobytes(), 1)
-            yield pa.RecordBatch.from_arrays([pa.array([number], pa.int32()), pa.array([packed], pa.binary())], names=["slice", "counts"])
+            counts = batch.column("counts")
+            each = np.zeros((batch.num_rows, GROUPS))
+            flat = counts.flatten()
+            each[counts.value_parent_indices().to_numpy(), flat.field("g").to_numpy()] = flat.field("n").to_numpy()
+            lift = (each + GROUP_PRIOR * shares) / (each.sum(1, keepdims=True) + GROUP_PRIOR) / shares
+            steps = np.clip(np.rint(np.log10(lift) * LIFT_STEPS), -127, 127).astype(np.int8)
+            for word, n, row in zip(batch.column("word").to_pylist(), batch.column("n").to_pylist(), steps, strict=True):
+                held.append(word)
+                times.append(n)
+                lifts.append(row.tobytes())
+                length += len(word) + 1
+                if length >= PORTION_BYTES:
+                    yield from told()
+                    holder += 1
+                    held, times, lifts, length = [], [], [], 0
+        if held:
+            yield from told()
+
+    def tally_bits_of(held: list[bytes], times: np.ndarray) -> Tables:
+        return tally_bits(iter([(held, times)]))
 
-    def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in total(batches):
-            counts = sixteen_bits(np.frombuffer(zstandard.decompress(batch.column(1)[0].as_py()), np.float32)).tobytes()
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([counts], pa.binary())], names=["slice", "counts"])
+    def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, rows in runs(batches, "holder"):
+            told = [unpacked(part).reshape(9, -1) for part in rows.column("counts").to_pylist()[1:]]
+            blob = zstandard.compress(np.concatenate(told, 1).tobytes(), 1)
+            head = rows.slice(0, 1).combine_chunks().to_batches()[0]
+            yield pa.RecordBatch.from_arrays([head.column("words"), head.column("n"), head.column("lift"), pa.array([blob], pa.binary())], names=["words", "n", "lift", "told"])
 
-    # At most 32 partial sums of a slice meet in a task first; a second step joins those.
-    kind = "slice int, counts binary"
-    parts = words.mapInArrow(tally, kind).withColumn("deal", (F.spark_partition_id() / 32).cast("int"))
-    once = parts.repartition("slice", "deal").select("slice", "counts").mapInArrow(total, kind)
-    summed = once.repartition("slice").mapInArrow(finish, kind).collect()  # a fixed number of slices of fixed size
-    slices = {row["slice"]: bytes(row.counts) for row in summed}
-    return b"".join(slices.get(number, bytes(2 * width)) for number in range(SLICES))
+    dealt = written(words.select("word", "n", "counts").mapInArrow(deal, plain))
+    answers = answered(dealt.where("slice >= 0").select("holder", "slice", "keys", "counts"), slices, True)
+    empty = [F.lit(None).cast(kind).alias(name) for name, kind in (("words", "array<binary>"), ("n", "array<bigint>"), ("lift", "binary"))]
+    met = dealt.where("slice < 0").select("holder", "slice", "counts", "words", "n", "lift").unionByName(answers.select("holder", "slice", "counts", *empty))
+    ordered = met.repartition("holder").sortWithinPartitions("holder", "slice")
+    return written(ordered.mapInArrow(join, "words array<binary>, n array<bigint>, lift binary, told binary"))
 
 
-@lru_cache(maxsize=1)
-def mapped_tables(name: str) -> np.ndarray:
-    """The count tables, mapped into memory once per worker."""
-    return np.memmap(SparkFiles.get(name), np.uint16, "r")
+def answered(asking: DataFrame, slices: int, paths: bool) -> DataFrame:
+    """(holder, slice, counts): for the keys of each row (holder, slice, keys, counts) the sums over all rows, or the totals on their paths."""
+
+    def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for number, rows in runs(batches, "slice"):
+            keys = [np.frombuffer(k, np.uint64) for k in rows.column("keys").to_pylist()]
+            tables = summed(keys, [unpacked(c).astype(np.float64) for c in rows.column("counts").to_pylist()])
+            for holder, own in zip(rows.column("holder").to_pylist(), keys, strict=True):
+                found = path_totals(tables, own) if paths else tables[1][np.searchsorted(tables[0], own)]
+                columns = [pa.array([holder], pa.int64()), pa.array([number], pa.int32()), pa.array([packed(found)], pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, names=["holder", "slice", "counts"])
+
+    dealt = asking.repartition(slices, "slice").sortWithinPartitions("slice")
+    return dealt.mapInArrow(answer, "holder bigint, slice int, counts binary")
+
+
+def told_portions(batches: Iterator[pa.RecordBatch]) -> Portions:
+    """(words, counts, totals) of the portions."""
+    for batch in batches:
+        for words, n, told in zip(*(batch.column(name) for name in ("words", "n", "told")), strict=True):
+            yield words.as_py(), np.array(n.as_py()), np.frombuffer(zstandard.decompress(told.as_py()), np.int64).reshape(9, -1)
 
 
 def summed_cells(parts: DataFrame) -> dict[tuple[int, int], tuple[float, float]]:
@@ -348,48 +455,45 @@ def cells(row: np.ndarray, col: np.ndarray, value: np.ndarray, mass: np.ndarray)
     return pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip((row, col, value, mass), kinds, strict=True)], names=["row", "col", "value", "mass"])
 
 
-def learnt(words: DataFrame, tables: str) -> tuple[np.ndarray, np.ndarray]:
-    """(weights, refining map): weights are averaged by the tokens each gate has seen in a task, the map's counts are added."""
+def learnt(portions: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """(weights, refining map): weights are averaged by the tokens each gate has seen in a task; the map is counted under the averaged ones."""
+    known = portions.select("words", "n", "told")
 
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = Model(mapped_tables(tables), first_weights())
-        seen, ones, mass = learn_online(word_batches(batches), model)
+        model = Model(None, first_weights())
+        seen, _, _ = learn_online(told_portions(batches), model)
         gate, k = np.nonzero((seen > 0)[:, None] & np.ones(CONTEXTS + 1, bool))
-        place = np.nonzero(mass)[0]
-        if len(place):
+        if len(gate):
             yield cells(gate, k, model.weights[gate, k] * seen[gate], seen[gate])
-            yield cells(GATES + place // MAP_STEPS, place % MAP_STEPS, ones[place], mass[place])
 
     weights = first_weights()
+    for (row, col), (value, seen) in summed_cells(known.mapInArrow(learn, CELLS)).items():
+        weights[row, col] = value / seen
+
+    def count_map(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _, ones, mass = learn_online(told_portions(batches), Model(None, weights), False)
+        place = np.nonzero(mass)[0]
+        if len(place):
+            yield cells(place // MAP_STEPS, place % MAP_STEPS, ones[place], mass[place])
+
     ones, mass = np.zeros((GATES, MAP_STEPS)), np.zeros((GATES, MAP_STEPS))
-    for (row, col), (value, seen) in summed_cells(words.mapInArrow(learn, CELLS)).items():
-        if row < GATES:
-            weights[row, col] = value / seen
-        else:
-            ones[row - GATES, col], mass[row - GATES, col] = value, seen
+    for (row, col), (value, seen) in summed_cells(known.mapInArrow(count_map, CELLS)).items():
+        ones[row, col], mass[row, col] = value, seen
     return weights, map_from(ones.ravel(), mass.ravel())
 
 
-def scored_words(words: DataFrame, model: tuple[str, np.ndarray, np.ndarray], shares: np.ndarray) -> DataFrame:
+def scored_words(portions: DataFrame, weights: np.ndarray, refined: np.ndarray) -> DataFrame:
     """(word, n, score, lift) of every word of the corpus; lift holds, for each group, how much likelier the word is there."""
-    tables, weights, refined = model
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = Model(mapped_tables(tables), weights, refined)
+        model = Model(None, weights, refined)
         for batch in batches:
-            scores = [own.log10(portion) for portion, _ in word_batches(iter([batch]))]
-            counts = batch.column("counts")
-            times = np.zeros((batch.num_rows, GROUPS))
-            flat = counts.flatten()
-            times[counts.value_parent_indices().to_numpy(), flat.field("g").to_numpy()] = flat.field("n").to_numpy()
-            lift = (times + GROUP_PRIOR * shares) / (times.sum(1, keepdims=True) + GROUP_PRIOR) / shares
-            steps = np.clip(np.rint(np.log10(lift) * LIFT_STEPS), -127, 127).astype(np.int8)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("word"), batch.column("n"), pa.array(np.concatenate(scores), pa.float64()), pa.array([row.tobytes() for row in steps], pa.binary())],
-                names=["word", "n", "score", "lift"],
-            )
+            for (words, n, told), lift in zip(told_portions(iter([batch])), batch.column("lift").to_pylist(), strict=True):
+                lifts = [lift[i : i + GROUPS] for i in range(0, len(lift), GROUPS)]
+                columns = [pa.array(words, pa.binary()), pa.array(n, pa.int64()), pa.array(model.log10(words, told), pa.float64()), pa.array(lifts, pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, names=["word", "n", "score", "lift"])
 
-    return written(words.select("word", "n", "counts").mapInArrow(run, "word binary, n bigint, score double, lift binary"))
+    return written(portions.mapInArrow(run, "word binary, n bigint, score double, lift binary"))
 
 
 def group_totals(scored: DataFrame) -> np.ndarray:
@@ -406,16 +510,8 @@ def group_totals(scored: DataFrame) -> np.ndarray:
     return np.log10(1 + np.array([sums.get((0, g), (0.0, 0.0))[0] for g in range(GROUPS)]))
 
 
-def fit(spark: SparkSession, words: DataFrame) -> tuple[str, np.ndarray, np.ndarray]:
-    """(name of the table file, weights, refining map) from the words of training documents and their counts."""
-    known = words.where("n > 0").select("word", "n")
-    tables = shared_file(spark, context_tables(known), "contexts.bin")
-    return tables, *learnt(known, tables)
-
-
 def score(docs: DataFrame, trains: Column, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(key, n_tokens, n_known, train_tokens, base_score, score) of every whole text, learnt from the rows that train."""
-    spark = docs.sparkSession
     blocks = tokenised(docs, trains, key, text)
     lists = blocks.where("kind = 0")
     # Every word takes part, also those that no training document holds.
@@ -429,25 +525,35 @@ def score(docs: DataFrame, trains: Column, key: str = "doc_id", text: str = "tex
     sizes = {r.g: r.n for r in words.select(F.explode("counts").alias("c")).groupBy("c.g").agg(F.sum("c.n").alias("n")).collect()}
     shares = np.array([sizes.get(g, 0) + 1.0 for g in range(GROUPS)])
     shares /= shares.sum()
-    scored = scored_words(words, fit(spark, words), shares)
+    portions = evidence(words, shares)
+    scored = scored_words(portions, *learnt(portions))
     whole = group_totals(scored)
     known = lists.select("block", "code", "word").join(scored, "word")
     key_type = blocks.schema["key"].dataType.simpleString()
-    listed = known.select("block", F.lit(0).alias("kind"), F.lit(None).cast(key_type).alias("key"), F.lit(None).cast("binary").alias("codes"), "code", "n", "score", "lift")
-    none = [F.lit(None).cast(kind).alias(name) for name, kind in (("code", "int"), ("n", "bigint"), ("score", "double"), ("lift", "binary"))]
+    listed = known.select("block", F.lit(0).alias("kind"), F.lit(None).cast(key_type).alias("key"), F.lit(None).cast("binary").alias("codes"), "code", "n", "score", "lift", "word")
+    none = [F.lit(None).cast(kind).alias(name) for name, kind in (("code", "int"), ("n", "bigint"), ("score", "double"), ("lift", "binary"), ("word", "binary"))]
     coded = blocks.where("kind = 1").select("block", "kind", "key", "codes", *none)
-    met = listed.unionByName(coded).repartition("block").sortWithinPartitions("block", "kind")
-
-    def mixed_groups(lift: np.ndarray, length: int) -> float:
-        """log10 of how much likelier the text is when each group's weight follows the words read so far."""
-        each = np.log10(shares) + lift / LIFT_STEPS - length * whole
-        return float(each.max() + np.log10((10 ** (each - each.max())).sum()))
+    asking = blocks.where("kind = 2").select(F.col("block").alias("holder"), F.col("code").alias("slice"), F.col("codes").alias("keys"), F.col("word").alias("counts"))
+    followed = answered(asking, PAIR_SLICES, False)
+    rest = [F.lit(None).cast(kind).alias(name) for name, kind in (("n", "bigint"), ("score", "double"), ("lift", "binary"))]
+    followed = followed.select(
+        F.col("holder").alias("block"), F.lit(2).alias("kind"), F.lit(None).cast(key_type).alias("key"), F.col("counts").alias("codes"), F.col("slice").alias("code"), *rest
+    ).withColumn("word", F.lit(None).cast("binary"))
+    met = listed.unionByName(coded).unionByName(followed).repartition("block").sortWithinPartitions("block", "kind", "code")
+
+    def mixed_groups(tokens_of: np.ndarray, lengths: np.ndarray, chance: np.ndarray, lifts: np.ndarray, last: np.ndarray, pairs: np.ndarray) -> np.ndarray:
+        """log10 of the probability of some texts when each group's weight follows the words read so far."""
+        alone = 10 ** (chance[tokens_of, None] + lifts[tokens_of] / LIFT_STEPS - whole)
+        met = np.log10((pairs[:, None] + PRIOR * alone) / (last[:, None] + PRIOR))
+        each = np.log10(shares) + np.add.reduceat(met, np.concatenate([[0], np.cumsum(lengths)[:-1]]))
+        top = each.max(1, keepdims=True)
+        return (top + np.log10((10 ** (each - top)).sum(1, keepdims=True)))[:, 0]
 
     def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, rows in runs(batches, "block"):
             kinds = rows.column("kind").to_numpy()
-            size = int((kinds == 0).sum())
-            head, rest = rows.slice(0, size), rows.slice(size)
+            size, texts = int((kinds == 0).sum()), int((kinds == 1).sum())
+            head, rest = rows.slice(0, size), rows.slice(size, texts)
             code = head.column("code").to_numpy()
             times, chance = np.zeros(size), np.zeros(size)
             times[code], chance[code] = head.column("n").to_numpy(), head.column("score").to_numpy()
@@ -455,10 +561,29 @@ def score(docs: DataFrame, trains: Column, key: str = "doc_id", text: str = "tex
             seen = times > 0
             lifts = np.zeros((size, GROUPS), np.int16)
             lifts[code] = np.frombuffer(b"".join(head.column("lift").to_pylist()), np.int8).reshape(-1, GROUPS)
+            words: list = [None] * size
+            for at, word in zip(code, head.column("word").to_pylist(), strict=True):
+                words[at] = word
+            documents = [np.frombuffer(zstandard.decompress(c), np.uint32) for c in rest.column("codes").to_pylist()]
+            sums = np.concatenate([unpacked(c) for c in rows.slice(size + texts).column("codes").to_pylist()])
+            pairs = sums[np.unique(pair_keys(word_hashes(words), documents), return_inverse=True)[1]]
+            every = np.concatenate([np.append(codes, np.uint32(0)) for codes in documents])
+            ends = np.cumsum([len(codes) + 1 for codes in documents])
+            before = np.concatenate([[np.uint32(0)], every[:-1]])
+            before[ends[:-1]] = 0
+            last = times[before]
+            scores, done = [], 0
+            while done < len(documents):
+                start = ends[done - 1] if done else 0
+                upto = max(done + 1, int(np.searchsorted(ends, start + TOKENS_AT_ONCE, "right")))
+                part = slice(start, ends[upto - 1])
+                lengths = np.diff(np.concatenate([[start], ends[done:upto]]))
+                scores.append(mixed_groups(every[part], lengths, chance, lifts, last[part], pairs[part]))
+                done = upto
             out = []
-            for packed in rest.column("codes").to_pylist():
-                codes = np.append(np.frombuffer(zstandard.decompress(packed), np.uint32), np.uint32(0))
-                out.append((len(codes), int(seen[codes].sum()), tokens, float(base[codes].sum()), float(chance[codes].sum() + mixed_groups(lifts[codes].sum(0, dtype=np.int64), len(codes)))))
+            for codes, score_of in zip(documents, np.concatenate(scores), strict=True):
+                codes = np.append(codes, np.uint32(0))
+                out.append((len(codes), int(seen[codes].sum()), tokens, float(base[codes].sum()), float(score_of)))
             if out:
                 columns = [pa.array(c, k) for c, k in zip(zip(*out, strict=True), [pa.int64()] * 3 + [pa.float64()] * 2, strict=True)]
                 keys = rest.column("key").combine_chunks()

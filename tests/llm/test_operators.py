@@ -363,6 +363,34 @@ def test_prefix_hash_does_not_depend_on_the_place_in_a_batch():
         assert (a == b[-11:]).all()
 
 
+def test_counts_are_exact_at_any_number_of_slices_and_portions(spark, monkeypatch):
+    monkeypatch.setattr(context_mixing, "PORTION_BYTES", 300)
+    monkeypatch.setattr(context_mixing, "SLICE_KEYS", 500)
+    rng = random.Random(4)
+    words = sorted({bytes(rng.choices(b"abcdexyz", k=rng.randint(0, 9))) for _ in range(400)})
+    table = spark.createDataFrame([(w, i % 7, [(i % 3, i % 7)]) for i, w in enumerate(words)], "word binary, n bigint, counts array<struct<g:int,n:bigint>>")
+    shares = np.full(context_mixing.GROUPS, 1 / context_mixing.GROUPS)
+    rows = context_mixing.evidence(table.repartition(3), shares).collect()
+    assert len(rows) > 3 and sorted(bytes(w) for r in rows for w in r.words) == words
+    seen = Counter()  # (order, context, first bits of the byte): occurrences
+    def paths(word):
+        whole = word + b" "
+        for at, byte in enumerate(whole):
+            for order in (*context_mixing.ORDERS, None):
+                context = (at, whole[:at]) if order is None else whole[max(0, at - order) : at]
+                yield [(order, context, depth, byte >> (8 - depth)) for depth in range(9)]
+    for i, word in enumerate(words):
+        for path in paths(word):
+            seen.update({step: i % 7 for step in path})
+    import zstandard
+    for r in rows:
+        own = [bytes(w) for w in r.words]
+        told = np.frombuffer(zstandard.decompress(r.told), np.int64).reshape(9, -1)
+        got = context_mixing.Model(None).totals(context_mixing.Positions(own), told)
+        want = np.array([[seen[step] for step in path] for word in own for path in paths(word)]).reshape(-1, context_mixing.CONTEXTS, 9)
+        assert (got == want.transpose(1, 2, 0)).all()
+
+
 # Near duplicates
 
 
