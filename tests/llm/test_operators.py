@@ -391,6 +391,16 @@ def test_counts_are_exact_at_any_number_of_slices_and_portions(spark, monkeypatc
         assert (got == want.transpose(1, 2, 0)).all()
 
 
+def test_the_previous_word_counts_and_pairs_add_up_to_one(spark):
+    texts = ["red fox", "red fox", "red fox", "blue dog", "blue dog", "blue dog", "fox", "dog"]
+    rows = [(i, t, True) for i, t in enumerate(texts)] + [(100 + i, t, False) for i, t in enumerate(["red fox", "red dog", "blue dog", "blue fox", "", "red"])]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, trains boolean")
+    got = {r.doc_id: r.score for r in context_mixing.score(df, F.col("trains")).collect()}
+    assert got[100] > got[101] + 0.2 and got[102] > got[103] + 0.2 and got[0] == got[100]
+    assert sum(10**score for key, score in got.items() if key >= 100) < 1
+    assert context_mixing.ORDERS[0] == 1
+
+
 # Near duplicates
 
 
