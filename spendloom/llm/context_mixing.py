@@ -54,10 +54,10 @@ from pyspark.sql import functions as F
 
 from .common import runs, small_batches, written
 
-BLOCK_BYTES = 16_000_000
+BLOCK_BYTES = 6_000_000
 ORDERS = (1, 2, 3, 4, 6)  # and the whole word so far
 CONTEXTS = len(ORDERS) + 1
-PORTION_BYTES = 100_000  # bytes of words that meet their counts at once
+PORTION_BYTES = 40_000  # bytes of words that meet their counts at once
 SLICE_KEYS = 4_000_000  # (context, next byte) pairs in a slice, at most about
 PAIR_SLICES = 512  # slices of the pairs of words
 PRIOR = 10.0  # words that the model without the previous word counts for besides the words that followed it
