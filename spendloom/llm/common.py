@@ -11,11 +11,13 @@ from pyspark.sql import functions as F
 from spendloom.session import scratch_folder
 
 ROWS_PER_BATCH = 256  # rows handed to Python at once; texts may be long
+BYTES_PER_BATCH = 16 << 20  # a batch ends after the row that reaches this
 FREED_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def small_batches(spark: SparkSession) -> None:
-    """Hand texts to Python in batches that stay small when texts are long."""
+    """Hand texts to Python in batches that stay small when texts are long; the session keeps both settings."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BYTES_PER_BATCH))
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ROWS_PER_BATCH))
 
 

@@ -10,7 +10,21 @@ from pyspark.sql import functions as F
 
 from spendloom.session import scratch_folder
 
-from . import anchor_pii, compression_quality, context_mixing, hnsw, license_scan, quartile_digest, signature_join, slack_packing, token_counts, transducer_bpe
+from . import (
+    anchor_pii,
+    compression_quality,
+    context_mixing,
+    hnsw,
+    license_scan,
+    merkle_manifest,
+    quartile_digest,
+    rank_profiles,
+    signature_join,
+    slack_packing,
+    token_alignment,
+    token_counts,
+    transducer_bpe,
+)
 from .common import fold, table, written
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -130,3 +144,25 @@ def op1_token_rollup(spark: SparkSession, folder: str) -> DataFrame:
     rollup.apply("recount", token_counts.revised(counts.join(poor, "doc_id", "left_semi"), words))
     rollup.apply("load", load)  # committed already: changes nothing
     return rollup.totals()
+
+
+@query
+def op11_rank_profiles(spark: SparkSession, folder: str) -> DataFrame:
+    """Every text's language; four fifths of the ids may be learnt from."""
+    docs = table(spark, folder, "documents", "doc_id", "lang", "text")
+    profiles = rank_profiles.learn(docs, fold("doc_id", 5) != 0)
+    held_out = (fold("doc_id", 5) == 0).alias("held_out")
+    return rank_profiles.predict(docs, profiles).select("doc_id", held_out, "lang_pred", "score", "margin")
+
+
+@query
+def op12_merkle_climb(spark: SparkSession, folder: str) -> DataFrame:
+    """Every row's leaf and proof in the manifest of all documents, and what half of them, tampered with, fold to."""
+    return merkle_manifest.verified(table(spark, folder, "documents", *merkle_manifest.COLUMNS))
+
+
+@query
+def op13_tokenizer_spans(spark: SparkSession, folder: str) -> DataFrame:
+    """Every text's groups of tokens of two vocabularies, and how common their links are in the corpus."""
+    docs = table(spark, folder, "documents", "doc_id", "text")
+    return token_alignment.align(docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
