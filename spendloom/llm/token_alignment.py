@@ -28,7 +28,7 @@ import hashlib
 import os
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
 from itertools import chain
 from typing import NamedTuple
@@ -43,7 +43,7 @@ from tokenizers import Tokenizer
 from .common import small_batches, written
 from .transducer_bpe import byte_letters
 
-MEMO_ENTRIES = 250_000  # units a worker remembers, and as many from before
+MEMO_ENTRIES = 400_000  # units a worker remembers, and as many from before
 UNIT_CHARS = 64  # longer units are aligned each time
 BROADCAST_PAIRS = 2_000_000  # rows of 24 bytes
 HALF = 1 << 32  # a pair is A's id times this, plus B's
@@ -165,12 +165,12 @@ class Aligner:
         found = dict(zip(inner, (self.aligned([LEAD, *inner]) or [])[1:], strict=False))
         return [found[unit] if unit in found else (self.aligned([LEAD, unit]) or [None, None])[1] for unit in units]
 
-    def learn(self, texts: list[str]) -> None:
-        """Align the units that are new in some texts.  A full memory is kept as the old one until the next is full."""
+    def learn(self, units: Iterable[str]) -> None:
+        """Align the units that are new.  A full memory is kept as the old one until the next is full."""
         if len(self.memo) > MEMO_ENTRIES:
             self.old, self.memo = self.memo, {}
         new = []
-        for unit in set(chain.from_iterable(map(self.units_of, texts))):
+        for unit in set(units):
             if unit in self.memo:
                 continue
             if unit in self.old:
@@ -179,9 +179,15 @@ class Aligner:
                 new.append(unit)
         self.memo.update(zip(new, self.all_aligned(new), strict=True))
 
-    def text(self, text: str) -> tuple[int, int, int, str, list[int], list[int]]:
-        """(tokens of A, tokens of B, groups, hash of the groups, pairs of the links, how often each)."""
-        units, memo = self.units_of(text) if text else [], self.memo
+    def texts(self, texts: list[str]) -> list[tuple[int, int, int, str, list[int], list[int]]]:
+        """Of each text: (tokens of A, tokens of B, groups, hash of the groups, pairs of the links, how often each)."""
+        split = [self.units_of(text) if text else [] for text in texts]
+        self.learn(chain.from_iterable(split))
+        return list(map(self.text, texts, split))
+
+    def text(self, text: str, units: list[str]) -> tuple[int, int, int, str, list[int], list[int]]:
+        """One text of ``texts``, from its units."""
+        memo = self.memo
         parts = [memo[unit] if unit in memo else self.all_aligned([unit])[0] for unit in units]
         if None in parts:  # what a unit alone can't tell, the whole text can
             parts = self.aligned([f" {text}"]) or []
@@ -207,9 +213,7 @@ def linked_texts(docs: DataFrame, byte_bpe: str, pieces: str, key: str = "doc_id
         own = aligner(byte_bpe, pieces)
         kind = pa.list_(pa.struct([("pair", pa.int64()), ("n", pa.int64())]))
         for batch in batches:
-            values = [value or "" for value in batch.column(1).to_pylist()]
-            own.learn(values)
-            found = [own.text(value) for value in values]
+            found = own.texts([value or "" for value in batch.column(1).to_pylist()])
             counts = [pa.array([row[i] for row in found], pa.int64()) for i in range(3)]
             ends = pa.array(np.concatenate([[0], np.cumsum([len(row[4]) for row in found])]), pa.int32())
             flat = [pa.array(list(chain.from_iterable(row[i] for row in found)), pa.int64()) for i in (4, 5)]
