@@ -5,7 +5,7 @@ All row rules are found in one pass over the lines.
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -215,6 +215,30 @@ def schema_report(spark, columns: Iterable[str]) -> DataFrame:
     return spark.createDataFrame(rows, REPORT_FIELDS)
 
 
+def require_columns(columns: Iterable[str]) -> None:
+    """Fail an import whose report header lacks required columns or has misnamed ones."""
+    columns = list(columns)
+    missing, misnamed = missing_columns(columns), misnamed_columns(columns)
+    if missing or misnamed:
+        raise ValueError(f"report header: missing {missing}, misnamed {misnamed}")
+
+
+def header_report(spark, headers: Mapping[str, Iterable[str]], period: Mapping[str, str]) -> DataFrame:
+    """The two rules on the headers of files: per period and rule, the files that break it and the least column named."""
+    kind = "file string, billing_period string, columns array<string>"
+    files = spark.createDataFrame([(path, period[path], list(names)) for path, names in headers.items()], kind)
+    broken = [
+        (path, "required_column", name) for path, names in headers.items() for name in missing_columns(names)
+    ] + [(path, "column_name_shape", name) for path, names in headers.items() for name in misnamed_columns(names)]
+    found = spark.createDataFrame(broken, "file string, rule string, name string")
+    return (
+        files.join(found, "file")
+        .groupBy("rule", "billing_period")
+        .agg(F.count_distinct("file").alias("n_rows"), F.min("name").alias("sample"))
+        .select("rule", "billing_period", "n_rows", "sample")
+    )
+
+
 # ---- manifests -------------------------------------------------------------------
 def manifest_report(manifests: DataFrame, objects: DataFrame | None = None) -> DataFrame:
     """Completeness of parsed v1 manifests; with ``objects`` (bucket, key) also of files."""

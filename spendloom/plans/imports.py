@@ -39,13 +39,17 @@ def import_export(
     multi_line: bool = True,
     periods_at_once: int = 1,
     spread_over: int | None = None,
+    infer_types: bool = False,
+    check_header: Callable[[tuple[str, ...]], None] | None = None,
 ) -> dict[str, int]:
     """Load every pending period; rows per loaded period.
 
     ``locate`` turns bucket and key into a path.  Periods load one after another,
     and the first failure ends the import; a backfill may load several at once.
     A gzip file is read by one task; ``spread_over`` shares the typing and writing
-    of its lines among that many.
+    of its lines among that many.  ``infer_types`` types the other columns of CSV
+    reports, too; ``check_header`` (such as ``quality.require_columns``) may fail a load
+    by its header.
     """
     pending = pending_manifests(lake, manifests, reset).select(
         "bucket", "billing_period", "version_id", "version", "report_keys", "file_count"
@@ -58,7 +62,7 @@ def import_export(
             one = lake.spark.createDataFrame([manifest], pending.schema)
             files = report_files(one, export_format).orderBy("position").collect()
             paths = [(locate(f["bucket"], f["key"]), f["format"]) for f in files]
-            return scan_reports(lake.spark, paths, overrides, multi_line, spread_over)
+            return scan_reports(lake.spark, paths, overrides, multi_line, spread_over, infer_types, check_header)
 
         period = manifest["billing_period"]
         rows = lake.replace_period(

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import csv
+import re
 from collections.abc import Callable, Iterable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
+from urllib.parse import unquote
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
@@ -16,6 +18,7 @@ from pyspark.sql import types as T
 from spendloom.functions.fixed_values import AMOUNT_COLUMNS, TIMESTAMP_COLUMNS
 from spendloom.functions.names import canonical_columns, canonical_name, report_column_order
 from spendloom.functions.scalars import AMOUNT, TAGS
+from spendloom.sources.inference import as_inferred, inferred_schema
 
 UNREADABLE = "unreadable_values"
 _HEADER_READERS = 16
@@ -119,15 +122,24 @@ def _unique(names: Iterable[str]) -> tuple[str, ...]:
 
 
 def csv_headers(spark: SparkSession, paths: list[str]) -> dict[str, tuple[str, ...]]:
-    """Column names of each CSV file: its first line that is not blank; none without such a line."""
+    """Column names of each CSV file: its first line that is not blank; none without such a line.
 
-    def header(path: str) -> tuple[str, ...]:
-        lines = spark.read.text(path).where(F.trim(F.translate("value", "\ufeff\t\r", "")) != "")
-        first = lines.first()
-        return tuple(next(csv.reader([first[0].lstrip("\ufeff")]))) if first else ()
+    One job for all files.  Lines of a split are read in order, and splits know where they begin, so the first
+    line is a minimum, which tasks combine before the shuffle; no line is sorted.
+    """
+    if not paths:
+        return {}
+    lines = spark.read.text(paths).select("value", "_metadata.file_path", "_metadata.file_block_start")
+    filled = lines.where(F.trim(F.translate("value", "\ufeff\t\r", "")) != "")
+    place = F.struct("file_block_start", F.monotonically_increasing_id())
+    first = filled.select("value", "file_path", place.alias("place")).groupBy("file_path").agg(F.min_by("value", "place").alias("line"))
+    found = {_path_text(unquote(row["file_path"])): next(csv.reader([row["line"].lstrip("\ufeff")])) for row in first.collect()}
+    return {path: tuple(found.get(_path_text(path), ())) for path in paths}
 
-    with ThreadPoolExecutor(_HEADER_READERS) as pool:
-        return dict(zip(paths, pool.map(header, paths)))
+
+def _path_text(path: str) -> str:
+    """A path without its scheme's slashes, which readers and callers write differently."""
+    return re.sub(r"^([A-Za-z][A-Za-z0-9+.-]*):/+", lambda m: "/" if m[1] == "file" else f"{m[1]}:/", path)
 
 
 def scan_csv(
@@ -171,8 +183,10 @@ def scan_parquet(spark: SparkSession, paths: list[str]) -> DataFrame:
     )
 
 
-def typed_columns(df: DataFrame, overrides: Mapping[str, str] | None = None) -> DataFrame:
-    """Canonical names; known amounts and times typed, other scalar columns as text.
+def typed_columns(
+    df: DataFrame, overrides: Mapping[str, str] | None = None, declared: bool = False
+) -> DataFrame:
+    """Canonical names; known amounts and times typed, other scalar columns as text, or as ``declared``.
 
     A value that is not what its column should hold becomes NULL there and is kept
     as text in the ``unreadable_values`` map, so none is lost.  An amount with digits
@@ -200,7 +214,7 @@ def typed_columns(df: DataFrame, overrides: Mapping[str, str] | None = None) ->
                 lost = lost | F.coalesce(finer, F.lit(False))
             if field.dataType != wanted:
                 bad.append((lost, F.create_map(F.lit(name), text)))
-        elif isinstance(field.dataType, (T.StructType, T.ArrayType, T.MapType)):
+        elif declared or isinstance(field.dataType, (T.StructType, T.ArrayType, T.MapType)):
             columns.append(raw.alias(name))
         else:
             columns.append(raw.cast("string").alias(name))
@@ -218,29 +232,41 @@ def scan_reports(
     overrides: Mapping[str, str] | None = None,
     multi_line: bool = True,
     spread_over: int | None = None,
+    infer_types: bool = False,
+    check_header: Callable[[tuple[str, ...]], None] | None = None,
 ) -> DataFrame | None:
     """All report files ``(path, format)`` of one period as typed line items.
 
-    CSV columns go by position, so files are scanned per distinct header.
+    CSV columns go by position, so files are scanned per distinct header.  Parquet
+    columns keep their declared types.  With ``infer_types``, one more pass over the
+    CSV files finds the types of their other columns; without it they are text.
+    ``check_header`` sees each distinct header before a line is read, and may raise.
     """
     files = list(files)
     texts = [path for path, kind in files if kind == "csv"]
     parquet = [path for path, kind in files if kind == "parquet"]
-    scans = []
     by_header: dict[tuple[str, ...], list[str]] = {}
     headers = csv_headers(spark, texts)
     for path in texts:
         by_header.setdefault(headers[path], []).append(path)
     by_header.pop((), None)  # files without even a header
-    for header, paths in by_header.items():
-        scans.append(scan_csv(spark, paths, header, multi_line))
-    if parquet:
-        scans.append(scan_parquet(spark, parquet))
-    if not scans:
+    scans = [scan_csv(spark, paths, header, multi_line) for header, paths in by_header.items()]
+    stored = [scan_parquet(spark, parquet)] if parquet else []
+    if check_header:
+        for header in [*by_header, *[tuple(scan.columns) for scan in stored]]:
+            check_header(header)
+    if infer_types:
+        kinds = inferred_schema(spark, scans)
+        for i, scan in enumerate(scans):
+            # Known amounts and times are read from their text, which may hold digits that a column can't.
+            known = {n.lower() for n, name in canonical_columns(scan.columns, overrides).items() if name in _TYPED}
+            scans[i] = as_inferred(scan, {n: kind for n, kind in kinds.items() if n not in known})
+    typed = [(scan, infer_types) for scan in scans] + [(scan, True) for scan in stored]
+    if not typed:
         return None
     if spread_over:
-        scans = [scan.repartition(spread_over) for scan in scans]
-    return union_by_name(typed_columns(scan, overrides) for scan in scans)
+        typed = [(scan.repartition(spread_over), declared) for scan, declared in typed]
+    return union_by_name(typed_columns(scan, overrides, declared) for scan, declared in typed)
 
 
 def path_template(template: str) -> Callable[[str, str], str]:
