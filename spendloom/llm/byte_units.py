@@ -10,10 +10,12 @@ from functools import lru_cache
 import public_tokenizers
 import tiktoken
 
-MEMO_ENTRIES = 300_000  # units a worker remembers; others are encoded anew each time
+MEMO_ENTRIES = 400_000  # units a worker remembers; when full it starts anew
 # Here a run of white space depends on what stands on both sides, so the text is encoded whole.
 DEPENDENT = re.compile(r"\s[ \n](?:\s|\Z)")
 SPECIAL = "<|endoftext|>"
+# The pattern's matcher can't look past so long a run of white space, which is cut off by hand.
+LONG_RUN = re.compile(r"[^\S\x1c-\x1f]{2048,}")
 
 
 class ByteBpe:
@@ -32,13 +34,27 @@ class ByteBpe:
         self.memo: dict[str, bytes] = {}
 
     def whole(self, text: str) -> bytes:
+        """A text's ids.  A run of white space is one pre-token, but for its last character if more text follows."""
+        if len(text) < 2048:
+            return self.short(text)
+        done, at = [], 0
+        for run in LONG_RUN.finditer(text):
+            start, end = run.span()
+            cut = end if end == len(text) or text.startswith(SPECIAL, end) else end - 1
+            done.append(self.short(text[at:start]))
+            done.append(array("I", self.encoding._encode_single_piece(text[start:cut].encode())).tobytes())
+            at = cut
+        return b"".join([*done, self.short(text[at:])])
+
+    def short(self, text: str) -> bytes:
         ids = self.encoding.encode(text, allowed_special="all") if SPECIAL in text else self.encoding.encode_ordinary(text)
         return array("I", ids).tobytes()
 
     def unit(self, word: str) -> bytes:
         found = self.whole(word if word.startswith("\n") else " " + word)
-        if len(self.memo) < MEMO_ENTRIES:
-            self.memo[word] = found
+        if len(self.memo) >= MEMO_ENTRIES:
+            self.memo.clear()
+        self.memo[word] = found
         return found
 
     def encode(self, text: str) -> bytes:

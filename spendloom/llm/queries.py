@@ -43,13 +43,7 @@ def op2_transducer_bpe(spark: SparkSession, folder: str) -> DataFrame:
     """Every text encoded and decoded with the word vocabulary."""
     docs = table(spark, folder, "documents", "doc_id", "text")
     tokenizer = public_tokenizers.path("word_bpe_49k.json")
-    coded = transducer_bpe.encode_decode(docs, transducer_bpe.build_lexicon(docs, tokenizer), tokenizer)
-    return coded.select(
-        "doc_id",
-        (F.octet_length("ids") / 4).cast("bigint").alias("n_tokens"),
-        F.sha2("ids", 256).alias("ids_sha256"),
-        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
-    )
+    return transducer_bpe.encode_digests(docs, transducer_bpe.build_lexicon(docs, tokenizer), tokenizer)
 
 
 @query
@@ -129,19 +123,22 @@ def op10_license_bands(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def op1_token_rollup(spark: SparkSession, folder: str) -> DataFrame:
-    """Token totals after three commits: all documents come in, toxic ones go, and those of low quality are counted anew as words."""
+    """Token totals after three commits: all documents come in, toxic ones go, and those of low quality are counted anew by words."""
     docs = table(spark, folder, "documents", "doc_id", "source", "lang", "text")
     labels = table(spark, folder, "labels", "doc_id", "quality", "toxic")
-    counts = written(token_counts.bpe_counts(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), "byte_bpe_50k"))
+    paths = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.path("word_bpe_49k.json")
+    numbers = written(token_counts.token_numbers(docs, *paths))
     toxic = labels.where("toxic = 1").select("doc_id").distinct()
     poor = labels.where("quality = 0").select("doc_id").distinct().join(toxic, "doc_id", "left_anti")
-    words = token_counts.word_counts(docs.join(poor, "doc_id", "left_semi"), "words")
+    counts = token_counts.of_version(numbers, "byte_tokens", "byte_bpe_50k")
+    again = numbers.join(poor, "doc_id", "left_semi")
+    old, new = token_counts.of_version(again, "byte_tokens", "byte_bpe_50k"), token_counts.of_version(again, "word_tokens", "word_bpe_49k")
     rollup = token_counts.TokenRollup(spark, scratch_folder(spark))
     load = token_counts.signed(counts, 1)
     rollup.apply("load", load)
     rollup.apply("toxic", token_counts.signed(counts.join(toxic, "doc_id", "left_semi"), -1))
     rollup.compact()
-    rollup.apply("recount", token_counts.revised(counts.join(poor, "doc_id", "left_semi"), words))
+    rollup.apply("recount", token_counts.revised(old, new))
     rollup.apply("load", load)  # committed already: changes nothing
     return rollup.totals()
 

@@ -17,39 +17,71 @@ commits and changes nothing.
 
 from __future__ import annotations
 
+import os
 from collections.abc import Iterator
+from functools import lru_cache
+from itertools import chain
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 from .byte_units import byte_bpe
 from .common import small_batches, texts
+from .transducer_bpe import units
 
 KEYS = ["source", "lang", "tokenizer"]
 SUMS = "source string, lang string, tokenizer string, documents bigint, tokens bigint"
 NAMES = "name string"
+MEMO_ENTRIES = 400_000  # units a worker remembers; when full it starts anew
 
 
-def bpe_counts(docs: DataFrame, ranks: str, version: str, text: str = "text") -> DataFrame:
-    """The rows (doc_id, source, lang) with their number of byte-level BPE tokens under a version's name."""
+class WordTokens:
+    """Numbers of tokens under a vocabulary that drops white space: of each unit once, all new units of a batch in one call."""
+
+    def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks use the cores
+        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer.no_truncation()
+        self.tokenizer.no_padding()
+        self.memo: dict[str, int] = {}
+
+    def counts(self, values: list[str]) -> list[int]:
+        """Each text's number of tokens."""
+        if len(self.memo) > MEMO_ENTRIES:
+            self.memo.clear()
+        split, memo = list(map(units, values)), self.memo
+        new = [unit for unit in set(chain.from_iterable(split)) if unit not in memo]
+        memo.update(zip(new, [len(x.ids) for x in self.tokenizer.encode_batch(new, add_special_tokens=False)], strict=True))
+        return [sum(map(memo.__getitem__, parts)) for parts in split]
+
+
+@lru_cache(maxsize=2)
+def word_tokens(path: str) -> WordTokens:
+    """One counter, with its memory of units, per worker."""
+    return WordTokens(path)
+
+
+def token_numbers(docs: DataFrame, ranks: str, words: str, text: str = "text") -> DataFrame:
+    """The rows (doc_id, source, lang) with their tokens under a byte-level and a word vocabulary, from one reading of the texts."""
     small_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = byte_bpe(ranks)
+        coder, counter = byte_bpe(ranks), word_tokens(words)
         for batch in batches:
-            tokens = pa.array([len(coder.encode(value)) // 4 for value in texts(batch)], pa.int64())
-            yield pa.RecordBatch.from_arrays([*batch.columns[:3], tokens], names=["doc_id", "source", "lang", "tokens"])
+            values = texts(batch)
+            of_bytes = pa.array([len(coder.encode(value)) // 4 for value in values], pa.int64())
+            of_words = pa.array(counter.counts(values), pa.int64())
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], of_bytes, of_words], names=["doc_id", "source", "lang", "byte_tokens", "word_tokens"])
 
     rows = docs.select(F.col("doc_id").cast("bigint"), F.col("source").cast("string"), F.col("lang").cast("string"), F.col(text).alias("text"))
-    counted = rows.mapInArrow(run, "doc_id bigint, source string, lang string, tokens bigint")
-    return counted.withColumn("tokenizer", F.lit(version))
+    return rows.mapInArrow(run, "doc_id bigint, source string, lang string, byte_tokens bigint, word_tokens bigint")
 
 
-def word_counts(docs: DataFrame, version: str, text: str = "text") -> DataFrame:
-    """The rows (doc_id, source, lang) with their number of words between ASCII white space."""
-    words = F.regexp_count(F.coalesce(F.col(text), F.lit("")), F.lit(r"[^\x20\x09-\x0D]+"))
-    return docs.select("doc_id", "source", "lang", words.cast("bigint").alias("tokens"), F.lit(version).alias("tokenizer"))
+def of_version(numbers: DataFrame, tokens: str, version: str) -> DataFrame:
+    """Counted rows (doc_id, source, lang, tokens, tokenizer) of one of the columns of ``token_numbers``."""
+    return numbers.select("doc_id", "source", "lang", F.col(tokens).alias("tokens"), F.lit(version).alias("tokenizer"))
 
 
 def signed(counts: DataFrame, sign: int) -> DataFrame:
@@ -96,7 +128,7 @@ class TokenRollup:
         if name in self.committed():
             return False
         sums = rows.groupBy(*KEYS).agg(F.sum("documents").alias("documents"), F.sum("tokens").alias("tokens"))
-        sums.coalesce(1).write.mode("overwrite").parquet(f"{self.folder}/batches/{name}")  # one row for each key
+        sums.repartition(1).write.mode("overwrite").parquet(f"{self.folder}/batches/{name}")  # one row for each key
         return True
 
     def parts(self) -> list[str]:
@@ -115,4 +147,4 @@ class TokenRollup:
         names = sorted(self.committed())
         number = f"{len(self.complete('compacted')) + 1:09d}"
         self.spark.createDataFrame([(name,) for name in names], NAMES).coalesce(1).write.mode("overwrite").parquet(f"{self.folder}/names/{number}")
-        self.totals().coalesce(1).write.mode("overwrite").parquet(f"{self.folder}/compacted/{number}")
+        self.totals().repartition(1).write.mode("overwrite").parquet(f"{self.folder}/compacted/{number}")

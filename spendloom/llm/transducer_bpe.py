@@ -24,18 +24,20 @@ from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
+from hashlib import sha256
 
 import pyarrow as pa
 import regex
 from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
-from .common import shared_file, small_batches, texts
+from .common import shared_file, small_batches, texts, written
 
 LEXICON_WORDS = 65_536
 COUNTER_ENTRIES = 400_000  # distinct words a task counts before it hands them on
-MEMO_ENTRIES = 300_000
+MEMO_ENTRIES = 300_000  # units a worker remembers, and as many from before
 # Fixed values of the vocabulary's file format.
 WORD = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
 WORD_END = "</w>"
@@ -193,19 +195,27 @@ class Transducer:
 class Coder:
     """Encodes and decodes with a transducer first and exact merges for the rest."""
 
-    def __init__(self, transducer: Transducer, merges: Merges):
-        self.transducer, self.merges = transducer, merges
+    def __init__(self, transducer: Transducer, merges: Merges, odd: str = "", published: Tokenizer | None = None):
+        self.transducer, self.merges, self.published = transducer, merges, published
+        self.odd = re.compile(odd) if odd else None
         self.memo: dict[str, tuple[bytes, str]] = {}
+        self.old: dict[str, tuple[bytes, str]] = {}
 
     def ids_of(self, word: str) -> list[int]:
         found = self.transducer.find(word.encode())
         return self.merges.merge(word) if found is None else list(found)
 
     def unit(self, part: str) -> tuple[bytes, str]:
-        ids = [number for word in pieces(part) for number in self.ids_of(word)]
-        found = array("I", ids).tobytes(), self.decode(ids)
-        if len(self.memo) < MEMO_ENTRIES:
-            self.memo[part] = found
+        found = self.old.get(part)
+        if found is None:
+            if self.odd and not part.isascii() and self.odd.search(part):
+                ids = self.published.encode(part, add_special_tokens=False).ids
+            else:
+                ids = [number for word in pieces(part) for number in self.ids_of(word)]
+            found = array("I", ids).tobytes(), self.decode(ids)
+        if len(self.memo) >= MEMO_ENTRIES:
+            self.old, self.memo = self.memo, {}
+        self.memo[part] = found
         return found
 
     def decode(self, ids: Iterable[int]) -> str:
@@ -220,8 +230,8 @@ class Coder:
             if i % 2:
                 done.append((array("I", [self.merges.special[segment]]).tobytes(), segment))
             else:
-                memo, unit = self.memo, self.unit
-                done += [memo.get(part) or unit(part) for part in units(segment)]
+                unit = self.unit
+                done += [self.memo.get(part) or unit(part) for part in units(segment)]
         return b"".join([ids for ids, _ in done]), " ".join([decoded for _, decoded in done])
 
 
@@ -252,28 +262,107 @@ def word_counts(docs: DataFrame, text: str = "text") -> DataFrame:
     return found.groupBy("word").agg(F.sum("n").alias("n"))
 
 
+def frequent_words(counts: DataFrame, words: int) -> list[str]:
+    """The most frequent words of (word, n), ties to the smaller word.
+
+    The least number of occurrences is found first, from histograms, so that tasks send these words alone.
+    """
+    octaves = counts.groupBy(F.length(F.bin("n")).alias("octave")).count().collect()  # 64 rows at most
+    left, octave = words, 0
+    for octave, rows in sorted(octaves, reverse=True):
+        if rows > left:
+            break
+        left -= rows
+    else:
+        return [row.word for row in counts.collect()]
+    least = 0
+    inside = counts.where(F.length(F.bin("n")) == octave).groupBy("n").count()
+    for least, rows in sorted(inside.collect(), reverse=True):  # no more rows than words in the octave
+        if rows > left:
+            break
+        left -= rows
+    tied = counts.where(F.col("n") == least).orderBy("word").limit(left).select("word")
+    return [row.word for row in counts.where(F.col("n") > least).select("word").union(tied).collect()]
+
+
 def build_lexicon(docs: DataFrame, tokenizer: str, words: int = LEXICON_WORDS, text: str = "text") -> str:
     """Compile the most frequent words (ties to the smaller word) and hand the file to the executors; returns its name."""
-    frequent = word_counts(docs, text).orderBy(F.desc("n"), "word").limit(words).collect()
+    frequent = frequent_words(written(word_counts(docs, text)), words)
     merges = Merges(tokenizer)
-    content = compile_lexicon({row.word: merges.merge(row.word) for row in frequent})
+    content = compile_lexicon({word: merges.merge(word) for word in frequent})
     return shared_file(docs.sparkSession, content, "lexicon.bin")
 
 
+def published_tokenizer(path: str) -> Tokenizer:
+    """The library's tokenizer, without truncation and padding."""
+    found = Tokenizer.from_file(path)
+    found.no_truncation()
+    found.no_padding()
+    return found
+
+
 @lru_cache(maxsize=2)
-def coder(lexicon: str, tokenizer: str) -> Coder:
+def odd_characters(path: str) -> str:
+    """A pattern of the characters on which the library's tables of Unicode differ from those used here.
+
+    Every character is tried between letters, and every mark around other marks, some thousands in a call.
+    Code points without a character, in this release of Python, are among them without a trial.
+    """
+    published = published_tokenizer(path)
+    kinds = {i: unicodedata.category(chr(i)) for i in range(0x80, 0x110000) if not 0xD800 <= i < 0xE000}
+    points = [chr(i) for i, kind in kinds.items() if kind not in ("Cn", "Co")]
+    marks = ["\u0301", "\u0327", "\u0345", "\u05b0", "\u093c", "\u302a", "\u1dfa"]
+    tried = [f"a{c}b" for c in points]
+    loose = [c for c in points if kinds[ord(c)][0] == "M"]
+    tried += [f"a{x}{y}" for mark in marks for c in loose for x, y in ((c, mark), (mark, c))]
+    owners = points + [c for _ in marks for c in loose for _ in range(2)]
+    odd = {chr(i) for i, kind in kinds.items() if kind in ("Cn", "Co")}
+    step = 1 << 16
+    for at in range(0, len(tried), step):
+        parts, names = tried[at : at + step], owners[at : at + step]
+        text = "\n".join(parts)
+        told = published.normalizer.normalize_str(text.replace("\n", "xqxqx")).split("xqxqx")
+        for name, part, normal in zip(names, parts, told, strict=True):
+            if name not in odd and (normal != lowered(part) or " ".join(units(part)) != part.strip()):
+                odd.add(name)
+    # What the pre-tokenizer cuts, and where; a character of white space is no part of a piece.
+    for at in range(0, len(points), step):
+        names = points[at : at + step]
+        text = " ".join(lowered(f"a{c}b") for c in names)
+        cuts = published.pre_tokenizer.pre_tokenize_str(text)
+        own = [match.span() for match in WORD.finditer(text)]
+        apart = {place for span in {span for _, span in cuts} ^ set(own) for place in range(*span)}
+        place = 0
+        for name in names:
+            length = len(lowered(f"a{name}b"))
+            if any(i in apart for i in range(place, place + length)):
+                odd.add(name)
+            place += length + 1
+    ranges: list[list[int]] = []
+    for point in sorted(map(ord, odd)):
+        if ranges and point == ranges[-1][1] + 1:
+            ranges[-1][1] = point
+        else:
+            ranges.append([point, point])
+    return "[" + "".join([f"\\U{first:08x}-\\U{last:08x}" for first, last in ranges]) + "]"
+
+
+@lru_cache(maxsize=2)
+def coder(lexicon: str, tokenizer: str, odd: str) -> Coder:
     """One coder per worker, over the mapped file."""
     with open(SparkFiles.get(lexicon), "rb") as file:
         content = mmap.mmap(file.fileno(), 0, access=mmap.ACCESS_READ)
-    return Coder(Transducer(content), Merges(tokenizer))
+    return Coder(Transducer(content), Merges(tokenizer), odd, published_tokenizer(tokenizer))
 
 
 def encode_decode(docs: DataFrame, lexicon: str, tokenizer: str, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(key, ids, decoded): ids as little-endian unsigned 32-bit integers, and the text they decode to."""
     small_batches(docs.sparkSession)
 
+    odd = odd_characters(tokenizer)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = coder(lexicon, tokenizer)
+        own = coder(lexicon, tokenizer, odd)
         for batch in batches:
             coded = [own.code(value) for value in texts(batch)]
             yield pa.RecordBatch.from_arrays(
@@ -283,3 +372,24 @@ def encode_decode(docs: DataFrame, lexicon: str, tokenizer: str, key: str = "doc
 
     rows = docs.select(key, F.col(text).alias("text"))
     return rows.mapInArrow(run, f"`{key}` {rows.schema[0].dataType.simpleString()}, ids binary, decoded string")
+
+
+def encode_digests(docs: DataFrame, lexicon: str, tokenizer: str, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """(key, n_tokens, ids_sha256, decoded_sha256) of ``encode_decode``'s rows, hashed where they are coded."""
+    small_batches(docs.sparkSession)
+    odd = odd_characters(tokenizer)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = coder(lexicon, tokenizer, odd)
+        for batch in batches:
+            coded = [own.code(value) for value in texts(batch)]
+            columns = [
+                pa.array([len(ids) // 4 for ids, _ in coded], pa.int64()),
+                pa.array([sha256(ids).hexdigest() for ids, _ in coded], pa.string()),
+                pa.array([sha256(decoded.encode()).hexdigest() for _, decoded in coded], pa.string()),
+            ]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *columns], names=[key, "n_tokens", "ids_sha256", "decoded_sha256"])
+
+    rows = docs.select(key, F.col(text).alias("text"))
+    kind = rows.schema[0].dataType.simpleString()
+    return rows.mapInArrow(run, f"`{key}` {kind}, n_tokens bigint, ids_sha256 string, decoded_sha256 string")

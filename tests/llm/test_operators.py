@@ -5,6 +5,7 @@ import math
 import random
 import re
 import struct
+import unicodedata
 import zlib
 from collections import Counter, defaultdict
 
@@ -22,6 +23,7 @@ from spendloom.llm import (
     hnsw,
     license_scan,
     quartile_digest,
+    queries,
     signature_join,
     slack_packing,
     token_counts,
@@ -525,12 +527,27 @@ def test_all_notices_beside_each_other_are_found(spark):
     assert got == {(i, name) for i in range(300) for name in license_scan.NOTICES} | {(300, name) for name in lines}
 
 
+def test_hnsw_vectors_of_two_lengths_and_of_any_magnitude(spark):
+    """Queries of a length that candidates rarely have take no part; scores of huge and tiny vectors are cosines."""
+    rng = random.Random(6)
+    rows = [(i, [rng.uniform(-1, 1) * scale for _ in range(3)]) for i, scale in enumerate(rng.choice([1e-200, 1.0, 1e200]) for _ in range(39))]
+    vectors = spark.createDataFrame(rows + [(50, [1.0, 2.0]), (100, [2.0, 1.0])], "vec_id bigint, embedding array<double>")
+    assert hnsw.nearest(vectors, vectors.where("vec_id % 50 = 0 AND vec_id > 0"), 5).count() == 0
+    got = {(r.query_id, r["rank"]): (r.vec_id, r.score) for r in hnsw.nearest(vectors, vectors.where("vec_id < 3"), 5).collect()}
+    units = {i: np.array(v) / np.abs(v).max() for i, v in rows}
+    units = {i: v / np.linalg.norm(v) for i, v in units.items()}
+    for query in range(3):
+        best = sorted(((-float(units[query] @ v), i) for i, v in units.items() if i != query))[:5]
+        for rank, (score, i) in enumerate(best, 1):
+            assert got[query, rank][0] == i and abs(got[query, rank][1] + score) < 1e-12
+
+
 # Token rollups
 
 
 def test_rollup(spark, hard, nothing):
     docs = hard.select("doc_id", "text", F.col("decoded").alias("source"), F.col("spans").alias("lang"))
-    counts = token_counts.bpe_counts(docs, RANKS, "v1")
+    counts = token_counts.of_version(token_counts.token_numbers(docs, RANKS, WORD_BPE), "byte_tokens", "v1")
     rollup = token_counts.TokenRollup(spark, scratch_folder(spark))
     assert rollup.totals().count() == 0
     assert rollup.apply("load", token_counts.signed(counts, 1)) and not rollup.apply("load", token_counts.signed(counts, 1))
@@ -543,12 +560,12 @@ def test_rollup(spark, hard, nothing):
     assert totals(rollup) == {("x", "left", "v1"): (len(HARD), total), (None, None, "v1"): (1, 0)}
     rollup.apply("drop", token_counts.signed(counts.where("doc_id is null"), -1))
     rollup.compact()
-    rollup.apply("again", token_counts.revised(counts.where("doc_id = 9"), token_counts.word_counts(docs.where("doc_id = 9"), "v2")))
+    rollup.apply("again", token_counts.revised(counts.where("doc_id = 9"), token_counts.of_version(token_counts.token_numbers(docs.where("doc_id = 9"), RANKS, WORD_BPE), "word_tokens", "v2")))
     again = token_counts.TokenRollup(spark, rollup.folder)
     assert not again.apply("drop", token_counts.signed(counts, -1)) and not again.apply("again", token_counts.signed(counts, -1))
     nine = len(published.encode(HARD[9], add_special_tokens=False).ids)
-    assert totals(again) == {("x", "left", "v1"): (len(HARD) - 1, total - nine), (None, None, "v1"): (0, 0), ("x", "left", "v2"): (1, len(HARD[9].split()))}
-    assert again.apply("empty", token_counts.signed(token_counts.bpe_counts(docs.where("false"), RANKS, "v1"), 1))
+    assert totals(again) == {("x", "left", "v1"): (len(HARD) - 1, total - nine), (None, None, "v1"): (0, 0), ("x", "left", "v2"): (1, len(Tokenizer.from_file(WORD_BPE).encode(HARD[9], add_special_tokens=False).ids))}
+    assert again.apply("empty", token_counts.signed(counts.where("false"), 1))
     again.compact()
     assert totals(token_counts.TokenRollup(spark, rollup.folder)) == totals(again)
 
@@ -559,3 +576,64 @@ def test_word_crc(spark):
 
     rows = spark.range(50).select("id", fold("id", 5).alias("f")).collect()
     assert all(r.f == zlib.crc32(str(r.id).encode()) % 5 for r in rows)
+
+
+def test_word_tokens_equal_the_published_tokenizer():
+    published = Tokenizer.from_file(WORD_BPE)
+    values = [text or "" for text in HARD] + sample_texts(500, 8)
+    assert token_counts.WordTokens(WORD_BPE).counts(values) == [len(published.encode(v, add_special_tokens=False).ids) for v in values]
+
+
+def test_rollup_query_shuffles_no_texts(spark, monkeypatch):
+    """Totals of the registered query, and no text below any exchange of its batches."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    labels = spark.read.parquet("/root/testdata/sf0.001/labels.parquet")
+    plans = []
+    apply = token_counts.TokenRollup.apply
+    monkeypatch.setattr(token_counts.TokenRollup, "apply", lambda self, name, rows: plans.append(rows._jdf.queryExecution().executedPlan().toString()) or apply(self, name, rows))
+    got = {(r.source, r.lang, r.tokenizer): (r.documents, r.tokens) for r in queries.QUERIES["op1_token_rollup"](spark, "/root/testdata/sf0.001").collect()}
+    assert len(plans) == 4 and not any("text" in plan.replace("text_", "") for plan in plans)
+    toxic = {r.doc_id for r in labels.where("toxic = 1").collect()}
+    poor = {r.doc_id for r in labels.where("quality = 0").collect()} - toxic
+    byte_bpe, word_bpe = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json")), Tokenizer.from_file(WORD_BPE)
+    want = defaultdict(lambda: [0, 0])
+    for r in docs.collect():
+        for name, model in (("byte_bpe_50k", byte_bpe), ("word_bpe_49k", word_bpe)):
+            kept = r.doc_id not in toxic and (r.doc_id in poor) == (name == "word_bpe_49k")
+            n = len(model.encode(r.text or "", add_special_tokens=False).ids) if kept else 0
+            if kept or name == "byte_bpe_50k" or r.doc_id in poor:
+                want[r.source, r.lang, name][0] += kept
+                want[r.source, r.lang, name][1] += n
+    assert got == {key: tuple(value) for key, value in want.items()}
+
+
+def test_white_space_of_any_length(spark):
+    """Runs on which the pattern's matcher gives up, at every place of a text, as the published tokenizer codes them."""
+    published, own = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json")), byte_units.ByteBpe(RANKS)
+    for run in (" " * 5000, "\n" * 3000, " \t\n" * 1500, "\u3000" * 3000):
+        for text in (run, f"a{run}", f"{run}b", f"a{run}b c{run}<|endoftext|>{run}\x1cd", f"x {run}\n y"):
+            assert own.encode(text) == le_ids(published.encode(text, add_special_tokens=False).ids), repr(text[:5])
+    docs = spark.createDataFrame([(1, " " * 1_000_000), (2, "a" + "\n" * 300_000 + "b")], "doc_id bigint, text string")
+    pieces = slack_packing.pack(docs, RANKS)
+    assert {r.doc_id: r.n for r in pieces.groupBy("doc_id").agg(F.max("doc_tokens").alias("n")).collect()} == {i: len(own.encode(t)) // 4 + 1 for i, t in docs.collect()}
+
+
+def test_word_bpe_on_every_character():
+    """Each code point up to the emoji between letters, and marks in any order."""
+    published, merges = Tokenizer.from_file(WORD_BPE), transducer_bpe.Merges(WORD_BPE)
+    coder = transducer_bpe.Coder(transducer_bpe.Transducer(transducer_bpe.compile_lexicon({"the": merges.merge("the")})), merges, transducer_bpe.odd_characters(WORD_BPE), published)
+    points = [chr(i) for i in range(0x33480) if not 0xD800 <= i < 0xE000]
+    marks = [c for c in points if unicodedata.category(c)[0] == "M"]
+    rng = random.Random(1)
+    mixed = ["".join(rng.choice([rng.choice(points), rng.choice(marks), "a", "e "]) for _ in range(12)) for _ in range(4000)]
+    for text, told in ((t, e) for part in (mixed, [f"a{c}b" for c in points]) for t, e in zip(part, published.encode_batch(part, add_special_tokens=False), strict=True)):
+        assert coder.code(text)[0] == le_ids(told.ids), ascii(text)
+
+
+def test_frequent_words_are_the_most_frequent(spark):
+    rng = random.Random(9)
+    counts = {f"w{i}": rng.choice([1, 1, 1, 2, 3, 5, 9, 40, 1000 + i]) for i in range(300)}
+    df = spark.createDataFrame(list(counts.items()), "word string, n bigint")
+    for limit in (0, 1, 7, 60, 150, 299, 300, 500):
+        want = sorted(counts, key=lambda w: (-counts[w], w))[:limit]
+        assert sorted(transducer_bpe.frequent_words(df, limit)) == sorted(want), limit
