@@ -37,7 +37,7 @@ from .common import shared_file, small_batches, texts, written
 
 LEXICON_WORDS = 65_536
 COUNTER_ENTRIES = 400_000  # distinct words a task counts before it hands them on
-MEMO_ENTRIES = 300_000  # units a worker remembers, and as many from before
+MEMO_ENTRIES = 250_000  # units a worker remembers, and as many from before; and as many words
 # Fixed values of the vocabulary's file format.
 WORD = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
 WORD_END = "</w>"
@@ -200,10 +200,16 @@ class Coder:
         self.odd = re.compile(odd) if odd else None
         self.memo: dict[str, tuple[bytes, str]] = {}
         self.old: dict[str, tuple[bytes, str]] = {}
+        self.words: dict[str, tuple[int, ...]] = {}
 
-    def ids_of(self, word: str) -> list[int]:
-        found = self.transducer.find(word.encode())
-        return self.merges.merge(word) if found is None else list(found)
+    def ids_of(self, word: str) -> tuple[int, ...]:
+        known = self.words.get(word)
+        if known is None:
+            found = self.transducer.find(word.encode())
+            if len(self.words) >= MEMO_ENTRIES:
+                self.words.clear()
+            known = self.words[word] = tuple(self.merges.merge(word) if found is None else found)
+        return known
 
     def unit(self, part: str) -> tuple[bytes, str]:
         found = self.old.get(part)
@@ -213,9 +219,6 @@ class Coder:
             else:
                 ids = [number for word in pieces(part) for number in self.ids_of(word)]
             found = array("I", ids).tobytes(), self.decode(ids)
-        if len(self.memo) >= MEMO_ENTRIES:
-            self.old, self.memo = self.memo, {}
-        self.memo[part] = found
         return found
 
     def decode(self, ids: Iterable[int]) -> str:
@@ -225,13 +228,19 @@ class Coder:
 
     def code(self, text: str) -> tuple[bytes, str]:
         """Ids as little-endian unsigned 32-bit integers, and their decoded text."""
+        if len(self.memo) >= MEMO_ENTRIES:
+            self.old, self.memo = self.memo, {}
+        memo = self.memo
         done: list[tuple[bytes, str]] = []
         for i, segment in enumerate(SPECIAL.split(text) if "<|" in text else [text]):
             if i % 2:
                 done.append((array("I", [self.merges.special[segment]]).tobytes(), segment))
             else:
-                unit = self.unit
-                done += [self.memo.get(part) or unit(part) for part in units(segment)]
+                parts = units(segment)
+                for part in set(parts):
+                    if part not in memo:
+                        memo[part] = self.unit(part)
+                done += map(memo.__getitem__, parts)
         return b"".join([ids for ids, _ in done]), " ".join([decoded for _, decoded in done])
 
 
