@@ -22,8 +22,9 @@ MOST_ROUNDS = 30
 def _shares(weights: DataFrame) -> DataFrame:
     """(origin, target, share): each centre's weights as shares of one; a centre doesn't serve itself."""
     given = weights.where("origin <> target AND weight <> 0").groupBy("origin", "target").agg(F.sum("weight").alias("weight"))
-    bad = F.raise_error(F.concat(F.lit("negative weight from "), F.col("origin"))).cast("double")
-    given = given.withColumn("weight", F.when(F.col("weight") < 0, bad).otherwise(F.col("weight").cast("double")))
+    if (bad := weights.where("weight < 0").first()) is not None:
+        raise ValueError(f"negative weight from {bad['origin']}")
+    given = given.withColumn("weight", F.col("weight").cast("double"))
     totals = given.groupBy("origin").agg(F.sum("weight").alias("total"))
     return given.join(totals, "origin").select("origin", "target", (F.col("weight") / F.col("total")).alias("share"))
 
@@ -75,6 +76,7 @@ def allocate_step_down(costs: DataFrame, weights: DataFrame, order: Sequence[str
     """
     place = F.create_map(*[F.lit(x) for pair in zip(order, range(len(order))) for x in pair]) if order else F.create_map().cast("map<string,int>")
     origin, target = F.try_element_at(place, "origin"), F.try_element_at(place, "target")
-    unknown = F.raise_error(F.concat(F.lit("no place in the order for "), F.col("origin"))).cast("boolean")
-    later = F.when(F.col("origin") == F.col("target"), False).when(origin.isNull(), unknown).otherwise(target.isNull() | (target > origin))
-    return allocate_reciprocal(costs, weights.where(later))
+    serving = weights.where("origin <> target")
+    if (unknown := serving.where(origin.isNull()).first()) is not None:
+        raise ValueError(f"no place in the order for {unknown['origin']}")
+    return allocate_reciprocal(costs, serving.where(target.isNull() | (target > origin)))
