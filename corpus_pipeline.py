@@ -31,10 +31,27 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of the smallest id of each group of near duplicates; documents without words stay."""
+    """One document of each group of near duplicates, that of the smallest id; documents without words stay.
+
+    Repeated rows of that id are one document: the row of the smallest text digest, lang, source and length stays.
+    Rows without an id belong to no group; of those with one text the smallest row stays.
+    """
     found = signature_join.groups(docs, SHINGLE_WORDS, SIMILAR_PERCENT)
     copies = found.where(F.col("component_id") != F.col("doc_id")).select("doc_id").distinct()
-    return docs.join(copies, "doc_id", "left_anti").select(*COLUMNS)
+    key = F.coalesce(F.col("doc_id").cast("string"), F.concat(F.lit("text "), F.md5(F.coalesce("text", F.lit("")))))
+    row = F.struct(*[F.coalesce(F.col(name).cast("string"), F.lit("")).alias(name) for name in ("lang", "source", "n_chars")])
+    told = F.struct(F.md5(F.coalesce("text", F.lit(""))).alias("digest"), row.alias("row"), F.md5(F.to_json(F.struct(*COLUMNS))).alias("whole"))
+    keyed = docs.select(*COLUMNS, key.alias("_key"))
+    # A narrow table of what goes and what repeats, so texts are joined once.
+    repeated = keyed.groupBy("_key").agg(F.count("*").alias("n"), F.min(told).alias("least")).where("n > 1")
+    goes = copies.select(F.col("doc_id").cast("string").alias("_key"), F.lit(True).alias("goes"))
+    decided = repeated.select("_key", "least").unionByName(goes, allowMissingColumns=True)
+    decided = decided.groupBy("_key").agg(F.min("least").alias("_least"), F.max("goes").alias("_goes"))
+    kept = keyed.join(decided, "_key", "left").where("_goes IS NULL")
+    alone = kept.where("_least IS NULL").select(*COLUMNS)
+    chosen = kept.where(told == F.col("_least"))
+    one = chosen.groupBy("_key").agg(F.any_value(F.struct(*COLUMNS)).alias("one")).select("one.*")
+    return alone.unionByName(one)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
