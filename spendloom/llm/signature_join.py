@@ -4,19 +4,24 @@ Two documents link when the Jaccard similarity of their shingle sets reaches a t
 ``percent``; results are exact.
 
 1. Each text becomes its set of hashed word shingles (64 bits), and a digest of the set: documents
-   with equal sets are one from here on, whatever their number.
-2. Candidates.  All sets are put into one order of shingles, the rarest first, so linked sets share
-   one of their first ``n - ceil(p n) + 1`` shingles (otherwise too few would be left to agree on).
-   Any one order gives all links; rarity only keeps passages that many documents share at the end,
-   where they make no candidates.  Rarity is read from a table of ``COUNTERS`` hashed counts over
-   all documents: its size doesn't grow, whatever the corpus.
-   Each key links its documents to the smallest one, never in pairs; documents that meet in one
-   buffer of a task are linked there, and only the first goes on, so a hot key is a row per buffer.
-3. The candidate links' components are blocks; no true link leaves a block.  Texts of blocks are read
-   again and sent compressed, which takes a third of the room of their sets; tiles make the sets anew.  A block that weighs no more than ``TILE`` is a tile, and each of its sets is sent once.  In
-   a heavier one, sets are dealt to size classes; each set joins its own class and the next one, so
-   linked sets share a class.  A class is dealt to tiles; each pair of tiles is a unit of its own, so
-   no block, however large, meets in one task.
+   with equal sets are one from here on, whatever their number.  Sets are dealt to size classes; each
+   takes part in its own class and the next one, so linked sets share a class.
+2. Candidates.  All sets are put into one order of shingles, so linked sets share one of their first
+   ``n - ceil(p n) + 1`` shingles (otherwise too few would be left to agree on).  Any one order gives
+   all links.  Here a share of the hash range comes first (``low_bound``, two and a half times the
+   share of a set that is asked for), and in it the rarest shingles: passages that many documents
+   share stay at the end, where they make no candidates.  Rarity is the exact number of sets, counted
+   in blocks of the hash range that grow in number with the corpus and stay on executors; portions of
+   documents send their distinct shingles packed, and get levels back.  A shingle of one set alone is
+   no key.  Only texts that have too few shingles in that share use others, uncounted, by hash.
+   Each (key, class) links its sets to the smallest one, never in pairs; sets that meet in one buffer
+   of a task are linked there, and only the first goes on, so a hot key is a row per buffer.
+3. The components of a class's candidate links are blocks; no true link leaves its block.  Texts of
+   blocks are read again and sent compressed, which takes a third of the room of their sets; tiles
+   make the sets anew.  A block that weighs no more than ``TILE`` is a tile, and each of its sets is
+   sent once.  A heavier one is dealt to tiles; each pair of tiles is a unit of its own, so no block,
+   however large, meets in one task.  Two sets that are both from the class before are left to that
+   class's block.
 4. A tile's sets form a signature tree: nodes hold the OR of their sets' hashed bitmaps and the range
    of sizes.  Two trees are traversed together; a pair of nodes is left when the overlap it can reach
    at most is too small for the threshold.  What is left is verified on the whole sets; a pair
@@ -32,6 +37,7 @@ empty table gives no rows.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 from hashlib import blake2b
 
@@ -39,20 +45,20 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 import zstandard
-from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import runs, shared_file, small_batches, written
+from .common import runs, small_batches, written
 
 TILE = 8 << 20  # weight of the sets that one task compares: their shingles and SET_WEIGHT for each
 SET_WEIGHT = 256
 FANOUT = 16
 BITMAP_BITS = 2048  # at least; larger sets get four bits an element, so that bitmaps don't fill up
 BITMAPS_AT_ONCE = 1 << 25  # bytes of bitmaps compared at once
-COUNTERS = 1 << 22  # hashed shingle counts that order the shingles
-COUNTER_BLOCKS = 64
-KEYS_AT_ONCE = 1 << 20  # keys of a task that are linked before they are sent
+AT_ONCE = 1 << 20  # shingles of a portion of documents, whose keys are linked before they are sent
+BLOCK_SHINGLES = 1 << 21  # shingles that one block of the hash range counts, about
+SETS = "doc_id bigint, n bigint, tag bigint, digest binary, low_name bigint, high_name bigint"
+PORTIONS = "portion string, lows bigint, bases binary, tags binary, firsts binary, lengths binary, elements binary"
 
 
 def word_hashes(data: bytes) -> np.ndarray:
@@ -82,42 +88,104 @@ def size_class(size: int, percent: int) -> tuple[int, int]:
     return number, largest
 
 
-def counter_of(elements: np.ndarray) -> np.ndarray:
-    """The place of each shingle in the table of counts."""
-    return (elements * np.uint64(0xC2B2AE3D27D4EB4F) >> np.uint64(42)).astype(np.int64)
+def low_bound(percent: int) -> np.uint64:
+    """The hash under which shingles come first in the order: two and a half times as many as keys are needed."""
+    return np.uint64(min((1 << 64) - 1, (1 << 64) * (100 - percent) // 40))
 
 
-def shingle_levels(docs: DataFrame, words: int) -> bytes:
-    """Logarithms, in eighths, of the hashed shingle counts over all documents: a table of ``COUNTERS`` bytes."""
-    width = COUNTERS // COUNTER_BLOCKS
+def key_count(size: int, percent: int) -> int:
+    """How many of a set's first shingles hold one of any linked set's first ones."""
+    return size - -(-percent * size // 100) + 1
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(COUNTERS, np.uint32)
-        for batch in batches:
-            for data in batch.column(1).to_pylist():
-                counts[counter_of(shingle_set(data or b"", words))] += 1
-        packed = [zstandard.compress(counts[start : start + width].tobytes()) for start in range(0, COUNTERS, width)]
-        yield pa.RecordBatch.from_arrays([pa.array(range(COUNTER_BLOCKS), pa.int32()), pa.array(packed, pa.binary())], names=["block", "counts"])
 
-    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums: dict[int, np.ndarray] = {}
-        for batch in batches:
-            for block, counts in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                sums.setdefault(block, np.zeros(width, np.int64))
-                sums[block] += np.frombuffer(zstandard.decompress(counts), np.uint32)
-        levels = [np.minimum(8 * np.log2(1.0 + counts), 255).astype(np.uint8).tobytes() for counts in sums.values()]
-        yield pa.RecordBatch.from_arrays([pa.array(sums, pa.int32()), pa.array(levels, pa.binary())], names=["block", "counts"])
+def in_class(values: np.ndarray, classes: np.ndarray) -> np.ndarray:
+    """Names of sets, or keys, in a size class.  Two of one name would only share a block."""
+    return ((values ^ classes.astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F)) * np.uint64(0x9E3779B97F4A7C15)).view(np.int64)
+
 
-    kind = "block int, counts binary"
-    found = docs.mapInArrow(count, kind).repartition(COUNTER_BLOCKS, "block").mapInArrow(add, kind)
-    levels = {row.block: bytes(row.counts) for row in found.collect()}  # COUNTERS bytes in all
-    return b"".join(levels.get(block, bytes(width)) for block in range(COUNTER_BLOCKS))
+def set_rows(docs: DataFrame, words: int, percent: int) -> DataFrame:
+    """A row of each document's set, without a portion: its size, size class, digest and names in two classes; and
+    rows of portions: of each different set of some documents, the shingles that may become keys."""
+    bound = low_bound(percent)
+    fields = [part.split()[0] for part in f"{SETS}, {PORTIONS}".split(", ")]
+    kinds = {"bigint": pa.int64(), "binary": pa.binary(), "string": pa.string()}
+    types = [kinds[part.split()[1]] for part in f"{SETS}, {PORTIONS}".split(", ")]
+
+    def rows(columns: dict[str, list]) -> pa.RecordBatch:
+        length = len(next(iter(columns.values())))
+        return pa.RecordBatch.from_arrays([pa.array(columns[f], t) if f in columns else pa.nulls(length, t) for f, t in zip(fields, types, strict=True)], names=fields)
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[bytes, tuple[int, int, int, np.ndarray]] = {}
+        size = 0
 
-def keys_of(elements: np.ndarray, levels: np.ndarray, percent: int) -> np.ndarray:
-    """The first shingles of a set, the rarest first: linked sets have one in common."""
-    first = len(elements) - -(-percent * len(elements) // 100) + 1
-    return elements[np.lexsort((elements, levels[counter_of(elements)]))[:first]]
+        def portion() -> pa.RecordBatch:
+            bases, tags, firsts, kept = zip(*held.values(), strict=True)
+            elements = np.concatenate(kept)
+            packed = [np.array(x, t).tobytes() for x, t in ((bases, np.uint64), (tags, np.int64), (firsts, np.int64), (list(map(len, kept)), np.int64))]
+            whole = [uuid.uuid4().hex, int((elements < bound).sum()), *packed, elements.tobytes()]
+            return rows({f: [value] for f, value in zip(fields[6:], whole, strict=True)})
+
+        for batch in batches:
+            ids = batch.column(0).to_pylist()
+            sets = [shingle_set(data or b"", words) for data in batch.column(1).to_pylist()]
+            digests = [blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets]
+            bases = np.array([int.from_bytes(d[:8], "little") if d else 0 for d in digests], np.uint64)
+            tags = np.array([size_class(len(s), percent)[0] for s in sets], np.int64)
+            names = {"low_name": in_class(bases, tags).tolist(), "high_name": in_class(bases, tags + 1).tolist()}
+            yield rows({"doc_id": ids, "n": list(map(len, sets)), "tag": tags.tolist(), "digest": digests, **names})
+            for doc_id, elements, digest, base, tag in zip(ids, sets, digests, bases.tolist(), tags.tolist(), strict=True):
+                if doc_id is None or digest is None or digest in held:
+                    continue
+                first = key_count(len(elements), percent)
+                kept = elements[: max(first, int(np.searchsorted(elements, bound)))]
+                held[digest] = base, tag, first, kept
+                size += len(kept)
+                if size >= AT_ONCE:
+                    yield portion()
+                    held, size = {}, 0
+        if held:
+            yield portion()
+
+    return docs.mapInArrow(run, f"{SETS}, {PORTIONS}")
+
+
+def shingle_levels(portions: DataFrame, percent: int) -> DataFrame:
+    """(portion, parts): for each portion the levels (eighths of logarithms of the number of sets) of its distinct low
+    shingles, ascending, in parts by block of the hash range.  Copies of a set count once in a portion."""
+    bound = low_bound(percent)
+    total = portions.agg(F.sum("lows")).first()[0] or 0
+    blocks = total // BLOCK_SHINGLES + 1
+    edges = np.array([int(bound) * i // blocks for i in range(1, blocks)], np.uint64)
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for portion, data in zip(batch.column(0), batch.column(1), strict=True):
+                elements = np.frombuffer(data.as_buffer(), np.uint64)
+                found, counts = np.unique(elements[elements < bound], return_counts=True)
+                cuts = np.searchsorted(found, edges)
+                parts = [(i, e, c) for i, (e, c) in enumerate(zip(np.split(found, cuts), np.split(counts, cuts), strict=True)) if len(e)]
+                columns = [
+                    pa.array([portion.as_py()] * len(parts), pa.string()),
+                    pa.array([i for i, _, _ in parts], pa.int64()),
+                    pa.array([e.tobytes() for _, e, _ in parts], pa.binary()),
+                    pa.array([zstandard.compress(c.astype(np.uint32).tobytes()) for _, _, c in parts], pa.binary()),
+                ]
+                yield pa.RecordBatch.from_arrays(columns, names=["portion", "block", "elements", "counts"])
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block, rows in runs(batches, "block"):
+            parts = [np.frombuffer(x.as_buffer(), np.uint64) for x in rows.column("elements")]
+            counts = np.concatenate([np.frombuffer(zstandard.decompress(x.as_buffer()), np.uint32) for x in rows.column("counts")])
+            _, place = np.unique(np.concatenate(parts), return_inverse=True)
+            levels = np.minimum(8 * np.log2(np.bincount(place, counts)), 255).astype(np.uint8)[place]
+            packed = [zstandard.compress(x.tobytes()) for x in np.split(levels, np.cumsum([len(x) for x in parts])[:-1])]
+            names = ["portion", "block", "levels"]
+            yield pa.RecordBatch.from_arrays([rows.column("portion").combine_chunks(), pa.array([block] * len(parts), pa.int64()), pa.array(packed, pa.binary())], names=names)
+
+    sent = portions.select("portion", "elements").mapInArrow(send, "portion string, block bigint, elements binary, counts binary")
+    told = sent.repartition("block").sortWithinPartitions("block").mapInArrow(add, "portion string, block bigint, levels binary")
+    return told.groupBy("portion").agg(F.array_sort(F.collect_list(F.struct("block", "levels"))).alias("parts"))
 
 
 def linked_in_buffer(keys: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -137,54 +205,36 @@ def linked_in_buffer(keys: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.
     return np.concatenate([keys[starts], named]), np.concatenate([ids[starts], hubs, pairs[1]])
 
 
-def set_rows(docs: DataFrame, words: int, percent: int) -> DataFrame:
-    """(doc_id, n, tag, digest): the size, size class and digest of each document's set."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sets = [shingle_set(data or b"", words) for data in batch.column(1).to_pylist()]
-            digests = [blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(0),
-                    pa.array(map(len, sets), pa.int64()),
-                    pa.array([size_class(len(s), percent)[0] for s in sets], pa.int64()),
-                    pa.array(digests, pa.binary()),
-                ],
-                names=["doc_id", "n", "tag", "digest"],
-            )
-
-    return docs.mapInArrow(run, "doc_id bigint, n bigint, tag bigint, digest binary")
-
-
-def candidate_links(docs: DataFrame, words: int, percent: int) -> DataFrame:
-    """(one, other): each document of a key with the smallest one of that key."""
-    name = shared_file(docs.sparkSession, shingle_levels(docs, words), "levels")
+def candidate_links(portions: DataFrame, percent: int) -> DataFrame:
+    """(one, other), names of sets in a class: each set of a key and class with the smallest one there."""
+    bound = low_bound(percent)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        levels = np.fromfile(SparkFiles.get(name), np.uint8)
-        held: list[tuple[np.ndarray, np.ndarray]] = []
-
-        def told() -> Iterator[pa.RecordBatch]:
-            if held:
-                keys, ids = linked_in_buffer(*(np.concatenate(part) for part in zip(*held, strict=True)))
-                held.clear()
-                yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(ids)], names=["key", "doc_id"])
-
-        size = 0
         for batch in batches:
-            for doc_id, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                elements = shingle_set(data or b"", words)
-                if doc_id is not None and len(elements):
-                    found = keys_of(elements, levels, percent)
-                    held.append((found, np.full(len(found), doc_id, np.int64)))
-                    size += len(found)
-                if size >= KEYS_AT_ONCE:
-                    yield from told()
-                    size = 0
-        yield from told()
-
-    keyed = docs.mapInArrow(run, "key bigint, doc_id bigint")
+            for row in batch.to_pylist():
+                bases, elements = np.frombuffer(row["bases"], np.uint64), np.frombuffer(row["elements"], np.uint64)
+                tags, firsts, lengths = (np.frombuffer(row[x], np.int64) for x in ("tags", "firsts", "lengths"))
+                low = elements < bound
+                levels = np.full(len(elements), 1, np.int64)  # others come later in the order, and may have partners
+                if low.any():
+                    told = np.frombuffer(b"".join(zstandard.decompress(part["levels"]) for part in row["parts"]), np.uint8)
+                    _, place = np.unique(elements[low], return_inverse=True)
+                    levels[low] = told[place]
+                owner = np.repeat(np.arange(len(bases)), lengths)
+                order = np.lexsort((elements, levels, ~low, owner))
+                rank = np.arange(len(order)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+                used = order[(rank < np.repeat(firsts, lengths)) & (levels[order] > 0)]
+                if not len(used):
+                    continue
+                owner, elements = owner[used], elements[used]
+                classes = np.concatenate([tags[owner], tags[owner] + 1])
+                keys, names = in_class(np.tile(elements, 2), classes), in_class(np.tile(bases[owner], 2), classes)
+                keys, names = linked_in_buffer(keys.view(np.uint64), names)
+                yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(names)], names=["key", "doc_id"])
+
+    levels = shingle_levels(portions, percent).hint("merge")
+    columns = "bases", "tags", "firsts", "lengths", "elements"
+    keyed = portions.join(levels, "portion", "left").select(*columns, "parts").mapInArrow(run, "key bigint, doc_id bigint")
     # Rows of a key are sorted with the smallest id first, so one pass over a partition links them.
     sorted_keys = keyed.repartition("key").sortWithinPartitions("key", "doc_id")
 
@@ -308,8 +358,8 @@ def linked(one: np.ndarray, other: np.ndarray, percent: int) -> bool:
     return 100 * common >= percent * (len(one) + len(other) - common)
 
 
-def tile_links(ids: list[int], sets: list[np.ndarray], second: np.ndarray, percent: int) -> list[tuple[int, int]]:
-    """Links that connect what is linked in one tile (none is of the second) or across two."""
+def tile_links(ids: list[int], sets: list[np.ndarray], second: np.ndarray, owned: np.ndarray, percent: int) -> list[tuple[int, int]]:
+    """Links that connect what is linked in one tile (none is of the second) or across two; one of a pair is of the class itself."""
     own = np.nonzero(~second)[0]
     opposite = np.nonzero(second)[0]
     width = bitmap_bits(sets)
@@ -326,7 +376,9 @@ def tile_links(ids: list[int], sets: list[np.ndarray], second: np.ndarray, perce
 
     found = []
     for i, j in leaf_pairs(one, other, percent):
-        for a, b in zip(left[i], right[j], strict=True):
+        a, b = left[i], right[j]
+        some_own = owned[a] | owned[b]
+        for a, b in zip(a[some_own].tolist(), b[some_own].tolist(), strict=True):
             if a != b and (x := root(a)) != (y := root(b)) and linked(sets[a], sets[b], percent):
                 parent[max(x, y)] = min(x, y)
                 found.append((ids[a], ids[b]))
@@ -342,24 +394,21 @@ def packed_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def true_links(docs: DataFrame, blocks: DataFrame, words: int, percent: int) -> DataFrame:
     """(one, other): verified links that connect each block's linked documents."""
-    # Linked sets share a class, so each class of a heavy block is a block of its own; one set alone needs no task.
-    weight = F.sum(F.col("n") + SET_WEIGHT).alias("weight")
-    heavy = blocks.groupBy("component").agg(weight).where(F.col("weight") > TILE).select("component", F.lit(True).alias("heavy"))
-    tags = F.when(F.col("heavy"), F.array("tag", F.col("tag") + 1)).otherwise(F.array(F.lit(-1).cast("bigint")))
-    classed = blocks.join(heavy, "component", "left").select("node", "component", "n", F.explode(tags).alias("tag"))
-    sizes = classed.groupBy("component", "tag").agg(F.count("*").alias("sets"), weight).where("sets > 1")
-    tiled = sizes.select("component", "tag", F.ceil(F.col("weight") / TILE).alias("tiles"))
-    placed = classed.join(tiled, ["component", "tag"]).withColumn("tile", F.pmod(F.xxhash64("node"), "tiles"))
-    places = placed.groupBy("node").agg(F.collect_set(F.struct("component", "tag", "tile", "tiles")).alias("places"))  # two, or one
+    weight = F.sum(F.col("n") + SET_WEIGHT)
+    sizes = blocks.groupBy("component").agg(F.count("*").alias("sets"), F.ceil(weight / TILE).alias("tiles"), F.max("own").alias("some_own"))
+    # One set alone needs no task; sets of the class before meet there.
+    tiled = sizes.where("sets > 1 AND some_own").select("component", "tiles")
+    placed = blocks.join(tiled, "component").withColumn("tile", F.pmod(F.xxhash64("node"), "tiles"))
+    places = placed.groupBy("node").agg(F.collect_set(F.struct("component", "own", "tile", "tiles")).alias("places"))  # at most two for each set
     # The same plan at every size: texts are dealt by id, blocks are not broadcast.
     packed = docs.mapInArrow(packed_texts, "doc_id bigint, packed binary").hint("merge")
     each = packed.join(places, packed["doc_id"] == places["node"]).select("doc_id", "packed", F.explode("places").alias("place")).select("doc_id", "packed", "place.*")
     # A set goes to each pair of tiles that its own is part of.
     mates = each.withColumn("mate", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("tiles") - 1)))
     low, high = F.least("tile", "mate").alias("low"), F.greatest("tile", "mate").alias("high")
-    pair = F.xxhash64("component", "tag", low, high).alias("pair")
-    paired = mates.select(pair, "component", "tag", low, high, (F.col("tile") > F.col("mate")).alias("second"), "doc_id", "packed")
-    dealt = paired.repartition("pair").sortWithinPartitions("pair", "component", "tag", "low", "high")
+    pair = F.xxhash64("component", low, high).alias("pair")
+    paired = mates.select(pair, "component", "own", low, high, (F.col("tile") > F.col("mate")).alias("second"), "doc_id", "packed")
+    dealt = paired.repartition("pair").sortWithinPartitions("pair", "component", "low", "high")
 
     def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, rows in runs(with_tile_pair(batches), "tile_pair"):
@@ -370,7 +419,7 @@ def true_links(docs: DataFrame, blocks: DataFrame, words: int, percent: int) ->
             if across and not second.any():
                 continue
             sets = [shingle_set(zstandard.decompress(x.as_buffer()), words) for x in rows.column("packed")]
-            found = tile_links(rows.column("doc_id").to_pylist(), sets, second, percent)
+            found = tile_links(rows.column("doc_id").to_pylist(), sets, second, rows.column("own").to_numpy(), percent)
             if found:
                 one, other = zip(*found, strict=True)
                 yield pa.RecordBatch.from_arrays([pa.array(one, pa.int64()), pa.array(other, pa.int64())], names=["one", "other"])
@@ -379,9 +428,9 @@ def true_links(docs: DataFrame, blocks: DataFrame, words: int, percent: int) ->
 
 
 def with_tile_pair(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Batches with the component, the class and its two tiles as one column."""
+    """Batches with the component and its two tiles as one column."""
     for batch in batches:
-        names = [":".join(map(str, row)) for row in zip(*(batch.column(n).to_pylist() for n in ("component", "tag", "low", "high")), strict=True)]
+        names = [":".join(map(str, row)) for row in zip(*(batch.column(n).to_pylist() for n in ("component", "low", "high")), strict=True)]
         yield batch.append_column("tile_pair", pa.array(names, pa.string()))
 
 
@@ -389,20 +438,22 @@ def groups(docs: DataFrame, words: int = 5, percent: int = 80, key: str = "doc_i
     """(doc_id, n_shingles, component_id) of every row: the set's size and the smallest id its links reach."""
     small_batches(docs.sparkSession)
     rows = docs.select(F.col(key).cast("bigint").alias("doc_id"), F.col(text).cast("binary").alias("text"))
-    sets = written(set_rows(rows, words, percent))
+    found = written(set_rows(rows, words, percent))
+    sets = found.where("portion IS NULL").select("doc_id", "n", "digest", "low_name", "high_name")
     # Equal sets are one node, named by the smallest id.
-    same = sets.where("n > 0 AND doc_id IS NOT NULL").groupBy("digest").agg(F.min("doc_id").alias("node"))
-    nodes = written(sets.where("n > 0 AND doc_id IS NOT NULL").join(same, "digest").select("doc_id", "node").distinct())
-    near = candidate_links(rows, words, percent).distinct()
-    left = near.join(nodes.withColumnsRenamed({"doc_id": "one", "node": "a"}), "one")
-    between = left.join(nodes.withColumnsRenamed({"doc_id": "other", "node": "b"}), "other").select(F.col("a").alias("one"), F.col("b").alias("other"))
-    candidates = components(between.where("one <> other"))
-    heads = candidates.select(F.col("component").alias("node"), "component").distinct()
-    tags = sets.where("n > 0").select(F.col("doc_id").alias("node"), "tag", "n").distinct()
-    blocks = written(candidates.select("node", "component").union(heads).join(tags, "node"))
+    named_sets = sets.where("n > 0 AND doc_id IS NOT NULL")
+    same = written(named_sets.groupBy("digest", "n", "low_name", "high_name").agg(F.min("doc_id").alias("node")))
+    nodes = written(named_sets.select("doc_id", "digest").join(same.select("digest", "node"), "digest").select("doc_id", "node").distinct())
+    near = candidate_links(found.where("portion IS NOT NULL").select("portion", "lows", "bases", "tags", "firsts", "lengths", "elements"), percent)
+    candidates = components(near)
+    reached = candidates.select(F.col("node").alias("name"), "component")
+    heads = candidates.select(F.col("component").alias("name"), "component").distinct()
+    classes = F.array(F.struct(F.lit(True).alias("own"), F.col("low_name").alias("name")), F.struct(F.lit(False).alias("own"), F.col("high_name").alias("name")))
+    classed = same.select("node", "n", F.explode(classes).alias("c")).select("node", "n", "c.*")
+    blocks = written(classed.join(reached.union(heads), "name").select("node", "n", "own", "component"))
     links = true_links(rows, blocks, words, percent)
-    found = components(links)
-    named = nodes.join(found, "node", "left").select("doc_id", F.coalesce("component", "node").alias("component_id"))
+    linked_nodes = components(links)
+    named = nodes.join(linked_nodes, "node", "left").select("doc_id", F.coalesce("component", "node").alias("component_id"))
     ids = named.groupBy("doc_id").agg(F.min("component_id").alias("component_id"))
     return sets.join(ids, "doc_id", "left").select(
         "doc_id", F.col("n").alias("n_shingles"), F.coalesce(F.when(F.col("n") > 0, F.col("component_id")), F.col("doc_id")).alias("component_id")

@@ -445,6 +445,32 @@ def test_groups_equal_brute_force(spark, monkeypatch, size, percent, tile):
     assert got == brute_groups(texts, size, percent)
 
 
+@pytest.mark.parametrize(("size", "percent"), [(3, 90), (5, 80)])
+def test_a_passage_in_every_document_makes_no_block_of_them_all(spark, monkeypatch, size, percent):
+    monkeypatch.setattr(signature_join, "AT_ONCE", 500)  # many portions and blocks of the hash range
+    monkeypatch.setattr(signature_join, "BLOCK_SHINGLES", 2000)
+    rng = random.Random(percent)
+    passage = [f"p{i}" for i in range(50)]
+    texts: dict[int, str] = {}
+    for i in range(300):
+        words = texts[i - 1].split() if i % 3 == 1 else [f"w{rng.randrange(10**6)}" for _ in range(rng.choice([60, 61, 80, 120]))] + passage
+        if i % 3 == 1:
+            words[rng.randrange(len(words))] = f"w{i}"
+        texts[i] = " ".join(words)
+    heaviest = []
+    true_links = signature_join.true_links
+
+    def watched(docs, blocks, *rest):
+        heaviest.extend(r["count"] for r in blocks.groupBy("component").count().collect())
+        return true_links(docs, blocks, *rest)
+
+    monkeypatch.setattr(signature_join, "true_links", watched)
+    df = spark.createDataFrame(list(texts.items()), "doc_id bigint, text string").repartition(4)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in signature_join.groups(df, size, percent).collect()}
+    assert got == brute_groups(texts, size, percent)
+    assert max(heaviest) <= 10
+
+
 def test_groups_of_odd_rows(spark, hard, nothing):
     rows = signature_join.groups(hard).collect()
     assert len(rows) == len(HARD) + 1
