@@ -37,7 +37,8 @@ from .common import shared_file, small_batches, texts, written
 
 LEXICON_WORDS = 65_536
 COUNTER_ENTRIES = 400_000  # distinct words a task counts before it hands them on
-MEMO_ENTRIES = 250_000  # units a worker remembers, and as many from before; and as many words
+MEMO_ENTRIES = 400_000  # units a worker remembers, and as many from before; and as many words
+SHORT_WORD = 48  # bytes up to which the best pair is looked for in a list, which is quicker than a heap
 # Fixed values of the vocabulary's file format.
 WORD = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
 WORD_END = "</w>"
@@ -82,32 +83,60 @@ class Merges:
         self.ids: dict[str, int] = model["model"]["vocab"]
         self.names = {number: token for token, number in (self.ids | self.special).items()}
         pairs = (tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["model"]["merges"])
-        self.ranks: dict[tuple[str, str], int] = {pair: rank for rank, pair in enumerate(pairs)}
+        # Numbers of two tokens, joined, tell the rank of their merge and the number of what comes out, joined as well.
+        self.bits = max(self.ids.values()).bit_length()
+        ids, bits = self.ids, self.bits
+        self.pairs = {ids[one] << bits | ids[other]: rank << bits | ids[one + other] for rank, (one, other) in enumerate(pairs)}
+        self.letters = [ids[letter] for letter in LETTERS]
+        self.ends = [ids[letter + WORD_END] for letter in LETTERS]
 
     def merge(self, word: str) -> list[int]:
-        """Ids of one pre-token.  A heap keeps long words from quadratic work."""
-        parts: list[str | None] = [LETTERS[byte] for byte in word.encode()]
-        parts[-1] += WORD_END
-        ranks = self.ranks
+        """Ids of one pre-token."""
+        data = word.encode()
+        parts = [self.letters[byte] for byte in data[:-1]]
+        parts.append(self.ends[data[-1]])
+        return self.merged_short(parts) if len(parts) <= SHORT_WORD else self.merged_long(parts)
+
+    def merged_short(self, parts: list[int]) -> list[int]:
+        """The least rank, leftmost, is merged until no pair has one."""
+        get, bits = self.pairs.get, self.bits
+        none = 1 << 63
+        mask = (1 << bits) - 1
+        found = [get(one << bits | other, none) for one, other in zip(parts, parts[1:], strict=False)]
+        while found and (least := min(found)) != none:
+            i = found.index(least)
+            new = parts[i] = least & mask
+            del parts[i + 1], found[i]
+            if i:
+                found[i - 1] = get(parts[i - 1] << bits | new, none)
+            if i < len(found):
+                found[i] = get(new << bits | parts[i + 1], none)
+        return parts
+
+    def merged_long(self, letters: list[int]) -> list[int]:
+        """The same by a heap, which keeps long words from quadratic work."""
+        get, bits = self.pairs.get, self.bits
+        mask = (1 << bits) - 1
+        parts: list[int | None] = list(letters)
         after = list(range(1, len(parts) + 1))
         before = list(range(-1, len(parts) - 1))
-        heap = [(ranks[pair], i) for i, pair in enumerate(zip(parts, parts[1:], strict=False)) if pair in ranks]
+        heap = [(pair, i) for i in range(len(letters) - 1) if (pair := get(letters[i] << bits | letters[i + 1])) is not None]
         heapq.heapify(heap)
         while heap:
-            rank, i = heapq.heappop(heap)
-            if parts[i] is None or (j := after[i]) >= len(parts) or ranks.get((parts[i], parts[j])) != rank:
+            pair, i = heapq.heappop(heap)
+            if parts[i] is None or (j := after[i]) >= len(parts) or get(parts[i] << bits | parts[j]) != pair:
                 continue
-            parts[i] += parts[j]
+            parts[i] = pair & mask
             parts[j] = None
             after[i] = after[j]
             if after[i] < len(parts):
                 before[after[i]] = i
             for k in (before[i], i):
                 if k >= 0 and after[k] < len(parts):
-                    new = ranks.get((parts[k], parts[after[k]]))
+                    new = get(parts[k] << bits | parts[after[k]])
                     if new is not None:
                         heapq.heappush(heap, (new, k))
-        return [self.ids[part] for part in parts if part is not None]
+        return [part for part in parts if part is not None]
 
 
 def minimal_states(words: Iterable[bytes]) -> list[tuple[bool, tuple[tuple[int, int], ...]]]:
@@ -198,28 +227,39 @@ class Coder:
     def __init__(self, transducer: Transducer, merges: Merges, odd: str = "", published: Tokenizer | None = None):
         self.transducer, self.merges, self.published = transducer, merges, published
         self.odd = re.compile(odd) if odd else None
-        self.memo: dict[str, tuple[bytes, str]] = {}
-        self.old: dict[str, tuple[bytes, str]] = {}
-        self.words: dict[str, tuple[int, ...]] = {}
-
-    def ids_of(self, word: str) -> tuple[int, ...]:
-        known = self.words.get(word)
-        if known is None:
-            found = self.transducer.find(word.encode())
-            if len(self.words) >= MEMO_ENTRIES:
-                self.words.clear()
-            known = self.words[word] = tuple(self.merges.merge(word) if found is None else found)
-        return known
+        # Ids and decoded text of units and words, each in a dict of its own: plain values are nothing to collect.
+        self.ids: dict[str, bytes] = {}
+        self.decoded: dict[str, str] = {}
+        self.old: tuple[dict[str, bytes], dict[str, str]] = {}, {}
+        self.word_ids: dict[str, bytes] = {}
+        self.word_decoded: dict[str, str] = {}
+
+    def word(self, word: str) -> tuple[bytes, str]:
+        """Ids and decoded text of one pre-token."""
+        known = self.word_ids.get(word)
+        if known is not None:
+            return known, self.word_decoded[word]
+        found = self.transducer.find(word.encode())
+        if len(self.word_ids) >= MEMO_ENTRIES:
+            self.word_ids.clear()
+            self.word_decoded.clear()
+        ids = self.merges.merge(word) if found is None else found
+        known, decoded = array("I", ids).tobytes(), self.decode(ids)
+        self.word_ids[word], self.word_decoded[word] = known, decoded
+        return known, decoded
 
     def unit(self, part: str) -> tuple[bytes, str]:
-        found = self.old.get(part)
-        if found is None:
-            if self.odd and not part.isascii() and self.odd.search(part):
-                ids = self.published.encode(part, add_special_tokens=False).ids
-            else:
-                ids = [number for word in pieces(part) for number in self.ids_of(word)]
-            found = array("I", ids).tobytes(), self.decode(ids)
-        return found
+        found = self.old[0].get(part)
+        if found is not None:
+            return found, self.old[1][part]
+        if self.odd and not part.isascii() and self.odd.search(part):
+            ids = self.published.encode(part, add_special_tokens=False).ids
+            return array("I", ids).tobytes(), self.decode(ids)
+        words = pieces(part)
+        if len(words) == 1:
+            return self.word(words[0])
+        coded = [self.word(word) for word in words]
+        return b"".join([ids for ids, _ in coded]), " ".join([decoded for _, decoded in coded])
 
     def decode(self, ids: Iterable[int]) -> str:
         """Token texts joined by spaces, special tokens kept."""
@@ -228,20 +268,23 @@ class Coder:
 
     def code(self, text: str) -> tuple[bytes, str]:
         """Ids as little-endian unsigned 32-bit integers, and their decoded text."""
-        if len(self.memo) >= MEMO_ENTRIES:
-            self.old, self.memo = self.memo, {}
-        memo = self.memo
-        done: list[tuple[bytes, str]] = []
+        if len(self.ids) >= MEMO_ENTRIES:
+            self.old = self.ids, self.decoded
+            self.ids, self.decoded = {}, {}
+        known, decoded = self.ids, self.decoded
+        all_ids: list[bytes] = []
+        all_decoded: list[str] = []
         for i, segment in enumerate(SPECIAL.split(text) if "<|" in text else [text]):
             if i % 2:
-                done.append((array("I", [self.merges.special[segment]]).tobytes(), segment))
+                all_ids.append(array("I", [self.merges.special[segment]]).tobytes())
+                all_decoded.append(segment)
             else:
                 parts = units(segment)
-                for part in set(parts):
-                    if part not in memo:
-                        memo[part] = self.unit(part)
-                done += map(memo.__getitem__, parts)
-        return b"".join([ids for ids, _ in done]), " ".join([decoded for _, decoded in done])
+                for part in set(parts).difference(known):
+                    known[part], decoded[part] = self.unit(part)
+                all_ids += map(known.__getitem__, parts)
+                all_decoded += map(decoded.__getitem__, parts)
+        return b"".join(all_ids), " ".join(all_decoded)
 
 
 def word_counts(docs: DataFrame, text: str = "text") -> DataFrame:

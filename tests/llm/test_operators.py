@@ -101,6 +101,16 @@ def test_word_bpe_on_random_texts():
         assert coder.code(text) == (le_ids(ids), published.decode(ids, skip_special_tokens=False)), repr(text)
 
 
+def test_short_and_long_merges_agree():
+    merges = transducer_bpe.Merges(public_tokenizers.path("word_bpe_49k.json"))
+    rng = random.Random(7)
+    for _ in range(2000):
+        word = "".join(rng.choices("aeinrstéß的0!", k=rng.randint(1, 90)))
+        data = word.encode()
+        letters = [*(merges.letters[byte] for byte in data[:-1]), merges.ends[data[-1]]]
+        assert merges.merged_short(list(letters)) == merges.merged_long(letters) == merges.merge(word)
+
+
 def test_transducer_shares_suffixes_and_finds_exactly():
     words = {f"{a}{b}ing": [len(a), len(b)] for a in ("", "walk", "talk", "é") for b in ("", "s", "er")}
     found = transducer_bpe.Transducer(transducer_bpe.compile_lexicon(words))
