@@ -37,7 +37,7 @@ from .common import shared_file, small_batches, texts, written
 
 LEXICON_WORDS = 65_536
 COUNTER_ENTRIES = 400_000  # distinct words a task counts before it hands them on
-MEMO_ENTRIES = 400_000  # units a worker remembers, and as many from before; and as many words
+MEMO_ENTRIES = 300_000  # units a worker remembers, and as many from before; and as many words
 SHORT_WORD = 48  # bytes up to which the best pair is looked for in a list, which is quicker than a heap
 # Fixed values of the vocabulary's file format.
 WORD = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
@@ -239,15 +239,21 @@ class Coder:
         known = self.word_ids.get(word)
         if known is not None:
             return known, self.word_decoded[word]
-        found = self.transducer.find(word.encode())
+        if word.isascii() and (known := self.ids.get(word)) is not None:  # a unit by itself
+            return known, self.decoded[word]
         if len(self.word_ids) >= MEMO_ENTRIES:
             self.word_ids.clear()
             self.word_decoded.clear()
-        ids = self.merges.merge(word) if found is None else found
-        known, decoded = array("I", ids).tobytes(), self.decode(ids)
-        self.word_ids[word], self.word_decoded[word] = known, decoded
+        known, decoded = self.word_ids[word], self.word_decoded[word] = self.coded(word)
         return known, decoded
 
+    def coded(self, word: str) -> tuple[bytes, str]:
+        """The same, found anew."""
+        ids = self.transducer.find(word.encode())
+        if ids is None:
+            ids = self.merges.merge(word)
+        return array("I", ids).tobytes(), self.decode(ids)
+
     def unit(self, part: str) -> tuple[bytes, str]:
         found = self.old[0].get(part)
         if found is not None:
@@ -256,8 +262,8 @@ class Coder:
             ids = self.published.encode(part, add_special_tokens=False).ids
             return array("I", ids).tobytes(), self.decode(ids)
         words = pieces(part)
-        if len(words) == 1:
-            return self.word(words[0])
+        if len(words) == 1:  # a word is not remembered twice
+            return self.coded(part) if words[0] == part and part not in self.word_ids else self.word(words[0])
         coded = [self.word(word) for word in words]
         return b"".join([ids for ids, _ in coded]), " ".join([decoded for _, decoded in coded])
 
