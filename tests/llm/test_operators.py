@@ -673,3 +673,31 @@ def test_frequent_words_are_the_most_frequent(spark):
     for limit in (0, 1, 7, 60, 150, 299, 300, 500):
         want = sorted(counts, key=lambda w: (-counts[w], w))[:limit]
         assert sorted(transducer_bpe.frequent_words(df, limit)) == sorted(want), limit
+
+
+def test_neighbours_among_parallel_and_nearly_equal_vectors(spark, monkeypatch):
+    """The graph finds them in knots of parallel, nearly parallel and tightly clustered vectors, too."""
+    monkeypatch.setattr(hnsw, "SHARD_ROWS", 800)
+    rng = np.random.default_rng(8)
+    centres = rng.normal(size=(3, 32))
+    sets = [
+        np.concatenate([rng.normal(size=(600, 32)), centres[0] * rng.uniform(0.1, 9, size=(600, 1))]),
+        centres[rng.integers(0, 3, 1200)] + 1e-4 * rng.normal(size=(1200, 32)),
+        centres[rng.integers(0, 3, 1200)] + 1e-7 * rng.normal(size=(1200, 32)),
+        np.eye(32)[rng.integers(0, 32, 1200)] * rng.integers(1, 50, (1200, 1)),
+    ]
+    for vectors in sets:
+        df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "vec_id bigint, embedding array<double>")
+        units = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
+        hits = []
+        for r in hnsw.nearest(df, df.where("vec_id % 50 = 0")).collect():
+            scores = np.delete(units @ units[r.query_id], r.query_id)
+            hits.append(r.score >= np.sort(scores)[-5] - 1e-15 and r.vec_id != r.query_id)
+        assert len(hits) == 5 * 24 and np.mean(hits) >= 0.95
+
+
+def test_every_node_of_a_graph_can_be_reached():
+    vectors = np.eye(64)
+    graph = hnsw.Graph(vectors, [64], [np.full((64, 2), -1, np.int64)])
+    graph.connect()
+    assert graph.reached().all() and graph.beam_for(vectors) <= hnsw.SEARCH_BEAM
