@@ -1,4 +1,9 @@
-"""Tags handed down a tree of accounts, by a recursive query."""
+"""Tags handed down a tree of accounts, by pointers that double their reach.
+
+Each account holds the tags from itself up to an account above it, its pointer.  A round replaces the pointer
+by the pointer of that account and adds its tags, so that depth ``d`` takes about ``log2(d)`` rounds, each one
+join of a written table.
+"""
 
 from __future__ import annotations
 
@@ -6,17 +11,27 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from spendloom.operators.allocation import inherited_tags
+from spendloom.session import scratch_folder
 
-# From the roots down: each step joins the accounts of one level with their children.
-_WALK = """
-WITH RECURSIVE walk(account, depth, tags) AS (
-  SELECT account, 0, tags FROM {roots}
-  UNION ALL
-  SELECT c.account, w.depth + 1, map_concat(map_filter(w.tags, (k, v) -> NOT map_contains_key(c.tags, k)), c.tags)
-  FROM walk w JOIN {children} c ON c.parent = w.account
-)
-SELECT account, depth, tags FROM walk LIMIT ALL
-"""
+
+def _written(df: DataFrame) -> DataFrame:
+    path = scratch_folder(df.sparkSession)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _further(walked: DataFrame) -> DataFrame:
+    """(account, depth, tags, above) with twice the reach; ``above`` is null once a root's tags are in."""
+    waiting = walked.where("above IS NOT NULL")
+    # Few accounts may be above very many: only they are sent to meet those.
+    named = waiting.select(F.col("above").alias("account")).distinct()
+    upper = walked.join(named, "account", "left_semi").select(
+        F.col("account").alias("above"), F.col("depth").alias("_depth"), F.col("tags").alias("_tags"), F.col("above").alias("_above")
+    )
+    moved = waiting.join(upper, "above").select(
+        "account", (F.col("depth") + F.col("_depth")).alias("depth"), inherited_tags(F.col("tags"), F.col("_tags")).alias("tags"), F.col("_above").alias("above")
+    )
+    return walked.where("above IS NULL").unionByName(moved)
 
 
 def tags_of_accounts(accounts: DataFrame) -> DataFrame:
@@ -38,13 +53,20 @@ def tags_of_accounts(accounts: DataFrame) -> DataFrame:
     )
     failure = F.raise_error(F.concat(F.lit("two parents of account "), F.col("account").cast("string")))
     one = one.withColumn("parent", F.when(F.coalesce("split", F.lit(False)), failure.cast(one.schema["parent"].dataType)).otherwise(F.col("parent"))).drop("split")
-    known = one.select(F.col("account").alias("parent"), F.lit(True).alias("known"))
-    linked = one.join(known, "parent", "left")
-    roots, children = linked.where("known IS NULL").select("account", "tags"), linked.where("known").select("account", "parent", "tags")
-    walked = accounts.sparkSession.sql(_WALK, roots=roots, children=children)
+    one = _written(one)
+    named = one.where("parent IS NOT NULL").select(F.col("parent").alias("account")).distinct()
+    known = one.select("account").join(named, "account", "left_semi").select(F.col("account").alias("parent"), F.col("account").alias("above"))
+    linked = one.where("parent IS NOT NULL").join(known, "parent", "left").select("account", "tags", "above")
+    linked = linked.unionByName(one.where("parent IS NULL").select("account", "tags", F.col("parent").alias("above")))
+    walked = _written(linked.select("account", F.when(F.col("above").isNull(), 0).otherwise(1).cast("bigint").alias("depth"), "tags", "above"))
+    reach, accounts_in_all = 1, walked.count()
+    while reach < accounts_in_all and not walked.where("above IS NOT NULL").isEmpty():
+        walked = _written(_further(walked))
+        reach *= 2
+    # No path is longer than there are accounts: what still waits never gets to a root.
     lost = F.raise_error(F.concat(F.lit("account "), F.col("account").cast("string"), F.lit(" is above itself")))
-    return one.select("account").join(walked, "account", "left").select(
-        "account", F.when(F.col("depth").isNull(), lost.cast("int")).otherwise(F.col("depth")).alias("depth"), "tags"
+    return walked.select(
+        "account", F.when(F.col("above").isNotNull(), lost.cast("int")).otherwise(F.col("depth").cast("int")).alias("depth"), "tags"
     )
 
 

@@ -138,3 +138,13 @@ def test_lines_get_all_tags(spark):
     lines = spark.createDataFrame([("leaf", {"app": "web"}), ("unknown", None)], "acc string, tags map<string,string>")
     got = account_tree.tags_of_lines(lines, accounts, "acc", F.col("tags")).collect()
     assert {r.acc: r.all_tags for r in got} == {"leaf": {"team": "core", "env": "dev", "app": "web"}, "unknown": {}}
+
+
+def test_a_long_chain_of_accounts_takes_few_rounds(spark, monkeypatch):
+    """Depth 200 in eight doublings of reach, nearest tags first; a cycle ends after as many as there are accounts."""
+    rounds, further = [], getattr(account_tree, "_further", None)
+    monkeypatch.setattr(account_tree, "_further", lambda walked: rounds.append(1) or further(walked), raising=False)
+    got = tree(spark, [(f"n{i}", f"n{i - 1}", {f"k{i // 70}": str(i)}) for i in range(201)] + [("n0", "n-1", None)])
+    assert got["n200"] == (200, {"k0": "69", "k1": "139", "k2": "200"}) and got["n0"] == (0, {"k0": "0"}) and len(got) == 201
+    assert {name: depth for name, (depth, _) in got.items()} == {f"n{i}": i for i in range(201)}
+    assert len(rounds) == 8
