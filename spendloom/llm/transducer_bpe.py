@@ -43,6 +43,7 @@ SHORT_WORD = 48  # bytes up to which the best pair is looked for in a list, whic
 WORD = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
 WORD_END = "</w>"
 SPECIAL = re.compile(r"(<\|startoftext\|>|<\|endoftext\|>)")
+RANGE = re.compile(r"(\\U[0-9a-f]{8})-(\\U[0-9a-f]{8})")  # as ``odd_characters`` writes them
 NOT_SPACE = re.compile("[\x1c-\x1f]")  # white space to str.split alone
 
 
@@ -227,70 +228,72 @@ class Coder:
     def __init__(self, transducer: Transducer, merges: Merges, odd: str = "", published: Tokenizer | None = None):
         self.transducer, self.merges, self.published = transducer, merges, published
         self.odd = re.compile(odd) if odd else None
-        # Ids and decoded text of units and words, each in a dict of its own: plain values are nothing to collect.
+        # Most texts stay below U+10000, where a pattern without higher ranges needs one look for each character.
+        low = "".join([f"{one}-{other}" for one, other in RANGE.findall(odd) if int(one[2:], 16) < 0x10000])
+        self.low_odd = re.compile(f"[{low}]") if low else None
+        names = merges.names
+        self.names = [names.get(number, "") for number in range(max(names) + 1)]
+        # Ids of units and words: plain values are nothing to collect.
         self.ids: dict[str, bytes] = {}
-        self.decoded: dict[str, str] = {}
-        self.old: tuple[dict[str, bytes], dict[str, str]] = {}, {}
+        self.old: dict[str, bytes] = {}
         self.word_ids: dict[str, bytes] = {}
-        self.word_decoded: dict[str, str] = {}
 
-    def word(self, word: str) -> tuple[bytes, str]:
-        """Ids and decoded text of one pre-token."""
+    def word(self, word: str) -> bytes:
+        """Ids of one pre-token."""
         known = self.word_ids.get(word)
         if known is not None:
-            return known, self.word_decoded[word]
+            return known
         if word.isascii() and (known := self.ids.get(word)) is not None:  # a unit by itself
-            return known, self.decoded[word]
+            return known
         if len(self.word_ids) >= MEMO_ENTRIES:
             self.word_ids.clear()
-            self.word_decoded.clear()
-        known, decoded = self.word_ids[word], self.word_decoded[word] = self.coded(word)
-        return known, decoded
+        known = self.word_ids[word] = self.coded(word)
+        return known
 
-    def coded(self, word: str) -> tuple[bytes, str]:
+    def coded(self, word: str) -> bytes:
         """The same, found anew."""
         ids = self.transducer.find(word.encode())
-        if ids is None:
-            ids = self.merges.merge(word)
-        return array("I", ids).tobytes(), self.decode(ids)
-
-    def unit(self, part: str) -> tuple[bytes, str]:
-        found = self.old[0].get(part)
+        return array("I", self.merges.merge(word)).tobytes() if ids is None else ids.tobytes()
+
+    def is_odd(self, part: str) -> bool:
+        """Whether the library's tables may differ on one of its characters."""
+        if self.odd is None or part.isascii():
+            return False
+        pattern = self.low_odd if max(part) < "\U00010000" else self.odd
+        return pattern is not None and pattern.search(part) is not None
+
+    def unit(self, part: str) -> bytes:
+        """Ids of a part between white space."""
+        found = self.old.get(part)
         if found is not None:
-            return found, self.old[1][part]
-        if self.odd and not part.isascii() and self.odd.search(part):
-            ids = self.published.encode(part, add_special_tokens=False).ids
-            return array("I", ids).tobytes(), self.decode(ids)
+            return found
+        if self.is_odd(part):
+            return array("I", self.published.encode(part, add_special_tokens=False).ids).tobytes()
         words = pieces(part)
         if len(words) == 1:  # a word is not remembered twice
             return self.coded(part) if words[0] == part and part not in self.word_ids else self.word(words[0])
-        coded = [self.word(word) for word in words]
-        return b"".join([ids for ids, _ in coded]), " ".join([decoded for _, decoded in coded])
+        return b"".join([self.word(word) for word in words])
 
     def decode(self, ids: Iterable[int]) -> str:
         """Token texts joined by spaces, special tokens kept."""
-        names = self.merges.names
-        return " ".join([names[number] for number in ids])
+        return " ".join(map(self.names.__getitem__, ids))
 
     def code(self, text: str) -> tuple[bytes, str]:
         """Ids as little-endian unsigned 32-bit integers, and their decoded text."""
         if len(self.ids) >= MEMO_ENTRIES:
-            self.old = self.ids, self.decoded
-            self.ids, self.decoded = {}, {}
-        known, decoded = self.ids, self.decoded
-        all_ids: list[bytes] = []
-        all_decoded: list[str] = []
+            self.old, self.ids = self.ids, {}
+        known = self.ids
+        found: list[bytes] = []
         for i, segment in enumerate(SPECIAL.split(text) if "<|" in text else [text]):
             if i % 2:
-                all_ids.append(array("I", [self.merges.special[segment]]).tobytes())
-                all_decoded.append(segment)
+                found.append(array("I", [self.merges.special[segment]]).tobytes())
             else:
                 parts = units(segment)
                 for part in set(parts).difference(known):
-                    known[part], decoded[part] = self.unit(part)
-                all_ids += map(known.__getitem__, parts)
-                all_decoded += map(decoded.__getitem__, parts)
-        return b"".join(all_ids), " ".join(all_decoded)
+                    known[part] = self.unit(part)
+                found += map(known.__getitem__, parts)
+        ids = b"".join(found)
+        return ids, self.decode(memoryview(ids).cast("I"))
 
 
 def word_counts(docs: DataFrame, text: str = "text") -> DataFrame:

@@ -701,3 +701,19 @@ def test_every_node_of_a_graph_can_be_reached():
     graph = hnsw.Graph(vectors, [64], [np.full((64, 2), -1, np.int64)])
     graph.connect()
     assert graph.reached().all() and graph.beam_for(vectors) <= hnsw.SEARCH_BEAM
+
+
+def test_bpe_decodes_a_text_once_and_knows_odd_characters():
+    """Token names are joined for a whole text; characters below U+10000 are told by the shorter pattern as by the whole one."""
+    merges, odd = transducer_bpe.Merges(WORD_BPE), transducer_bpe.odd_characters(WORD_BPE)
+    published = transducer_bpe.published_tokenizer(WORD_BPE)
+    coder = transducer_bpe.Coder(transducer_bpe.Transducer(transducer_bpe.compile_lexicon({"the": merges.merge("the")})), merges, odd, published)
+    decoded, decode = [], coder.decode
+    coder.decode = lambda ids: decoded.append(1) or decode(ids)
+    text = "the cat, the <|endoftext|> unseen-words \U0001f600 caf\xe9 ͸ the"
+    told = published.encode(text, add_special_tokens=False).ids
+    assert coder.code(text) == (le_ids(told), published.decode(told, skip_special_tokens=False)) and len(decoded) == 1
+    assert coder.code("") == (b"", "")
+    whole = re.compile(odd)
+    for point in [*range(0x80, 0xD800, 7), *range(0xE000, 0x33480, 11)]:
+        assert coder.is_odd("a" + chr(point)) == bool(whole.search(chr(point)))
