@@ -18,6 +18,7 @@ from tokenizers import Tokenizer
 from spendloom.llm import (
     anchor_pii,
     byte_units,
+    common,
     compression_quality,
     context_mixing,
     hnsw,
@@ -403,6 +404,36 @@ def test_counts_are_exact_at_any_number_of_slices_and_portions(spark, monkeypatc
         assert (got == want.transpose(1, 2, 0)).all()
 
 
+def test_packed_numbers_and_paths_come_back_whole():
+    rng = np.random.default_rng(5)
+    for values in (np.zeros(0, np.int64), np.array([0, 254, 255, 256, 1 << 40]), rng.integers(0, 1000, 5000)):
+        assert (context_mixing.unpacked(context_mixing.packed(values)) == values).all()
+    keys = np.unique(rng.integers(0, 1 << 63, 300, np.uint64) << np.uint64(8) | rng.integers(0, 256, (9, 300), np.uint64))
+    keys = np.unique(np.concatenate([keys, np.array([0, 255, (1 << 64) - 1], np.uint64)]))
+    counts = rng.integers(0, 400, len(keys))
+    assert (context_mixing.unpacked_keys(context_mixing.packed_keys(keys)) == keys).all()
+    totals = context_mixing.path_totals((keys, counts), keys)
+    assert (context_mixing.own_totals((keys, counts)) == totals).all()
+    asked = np.sort(rng.permutation(len(keys))[:700])
+    steps = context_mixing.path_steps(keys[asked], totals[:, asked])
+    assert len(steps) < totals[:, asked].size and (context_mixing.from_steps(keys[asked], steps) == totals[:, asked]).all()
+    words = [b"", b"a", b"\x00\xff", b"zz"]
+    assert context_mixing.unpacked_words(context_mixing.packed_words(words)) == words and context_mixing.unpacked_words(context_mixing.packed_words([b""])) == [b""]
+
+
+def test_the_language_model_writes_little_more_than_its_result_reads(spark, tmp_path, monkeypatch):
+    rng = random.Random(6)
+    texts = [" ".join("".join(rng.choices("abcdefghij", k=rng.randint(3, 9))) for _ in range(200)) for _ in range(150)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    numbers = iter(range(100))
+    for module in (common, context_mixing):
+        monkeypatch.setattr(module, "scratch_folder", lambda _: str(tmp_path / f"table-{next(numbers)}"), raising=False)
+    rows = context_mixing.score(df, F.col("doc_id") % 10 != 0)
+    left = sum(f.stat().st_size for f in tmp_path.rglob("*.parquet"))
+    assert 0 < left < 8 * sum(map(len, texts))
+    assert rows.count() == rows.count() == 150  # from what is left
+
+
 def test_the_previous_word_counts_and_pairs_add_up_to_one(spark):
     texts = ["red fox", "red fox", "red fox", "blue dog", "blue dog", "blue dog", "fox", "dog"]
     rows = [(i, t, True) for i, t in enumerate(texts)] + [(100 + i, t, False) for i, t in enumerate(["red fox", "red dog", "blue dog", "blue fox", "", "red"])]
